@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference reads whole CSV files and has no stream, watermark, window or
+stateful operator, so there is nothing to express with Structured
+Streaming.  Every operator in ``featspark.operators`` is a plain DataFrame
+plan and would run unchanged inside ``foreachBatch`` if a caller streamed
+detail rows, but no streaming entry point is provided.
+"""
