@@ -11,6 +11,11 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from featspark.operators.quantile import exact_medians, exact_modes
+
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def _stat(name_or_fn, c: Column) -> Column:
@@ -36,8 +41,12 @@ def apply_impute(target: DataFrame, values: dict[str, object], suffix: str | Non
     """
     def fill(c):
         v = values[c]
-        return F.coalesce(F.col(c), F.lit(v).cast(target.schema[c].dataType)) if v is not None \
-            else F.col(c)
+        if v is None:
+            return F.col(c)
+        t = target.schema[c].dataType
+        if isinstance(v, float) and isinstance(t, _INTEGRAL):
+            return F.coalesce(F.col(c).cast("double"), F.lit(v))
+        return F.coalesce(F.col(c), F.lit(v).cast(t))
     if suffix is None:
         return target.withColumns({c: fill(c) for c in values})
     return target.select(*keep, *[fill(c).alias(f"{c}{suffix}") for c in values])

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from featspark.operators.quantile import exact_quantiles
+
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
            T.DoubleType, T.DecimalType)
 
@@ -70,23 +72,31 @@ DESCRIBE_STATS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 def describe(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """pandas ``describe()`` in long form: (variable, statistic, value) (O-D20).
 
-    Quartiles are exact linear-interpolated percentiles by default.
+    Moments come from one aggregate; quartiles are exact linear-interpolated
+    percentiles from the distributed ``exact_quantiles`` (or a fixed-size
+    sketch with ``approx``).
     """
     aggs, items = [], []
     for i, c in enumerate(cols):
         v = F.col(c).cast("double")
-        q = (F.percentile_approx(v, [0.25, 0.5, 0.75], 10000) if approx
-             else F.percentile(v, [0.25, 0.5, 0.75]))
         aggs += [F.count(v).alias(f"_n{i}"), F.avg(v).alias(f"_a{i}"),
                  F.stddev_samp(v).alias(f"_s{i}"), F.min(v).alias(f"_lo{i}"),
-                 q.alias(f"_q{i}"), F.max(v).alias(f"_hi{i}")]
+                 F.max(v).alias(f"_hi{i}")]
         items += [(c, "count", f"_n{i}"), (c, "mean", f"_a{i}"), (c, "std", f"_s{i}"),
-                  (c, "min", f"_lo{i}"), (c, "25%", f"_q{i}[0]"), (c, "50%", f"_q{i}[1]"),
-                  (c, "75%", f"_q{i}[2]"), (c, "max", f"_hi{i}")]
+                  (c, "min", f"_lo{i}"), (c, "max", f"_hi{i}")]
+        if approx:
+            aggs.append(F.percentile_approx(v, [0.25, 0.5, 0.75], 10000).alias(f"_q{i}"))
+            items += [(c, "25%", f"_q{i}[0]"), (c, "50%", f"_q{i}[1]"), (c, "75%", f"_q{i}[2]")]
     row = df.agg(*aggs)
     arr = F.array(*[F.struct(F.lit(v).alias("variable"), F.lit(s).alias("statistic"),
                              F.expr(e).cast("double").alias("value")) for v, s, e in items])
-    return row.select(F.explode(arr).alias("r")).select("r.*")
+    moments = row.select(F.explode(arr).alias("r")).select("r.*")
+    if approx:
+        return moments
+    names = {0.25: "25%", 0.5: "50%", 0.75: "75%"}
+    qs = exact_quantiles(df, list(cols), list(names))
+    lab = F.when(F.col("p") == 0.25, "25%").when(F.col("p") == 0.5, "50%").otherwise("75%")
+    return moments.unionByName(qs.select("variable", lab.alias("statistic"), "value"))
 
 
 def describe_compare(a: DataFrame, b: DataFrame, cols: Sequence[str],
@@ -163,16 +173,21 @@ def histogram(df: DataFrame, col: str, bins: int = 10, where=None,
 
 
 def column_center_and_range(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(variable, median, low, high) ignoring NULL and non-finite values (O-D26)."""
+    """(variable, median, low, high) ignoring NULL and non-finite values (O-D26).
+
+    Median exact and distributed; low/high from one aggregate.
+    """
+    cols = list(cols)
+    fin = df.select(*[F.when(~F.isnan(F.col(c).cast("double"))
+                             & (F.abs(F.col(c).cast("double")) != float("inf")),
+                             F.col(c).cast("double")).alias(c) for c in cols])
     aggs, items = [], []
     for i, c in enumerate(cols):
-        v = F.col(c).cast("double")
-        fin = F.when(~F.isnan(v) & (F.abs(v) != float("inf")), v)
-        aggs += [F.median(fin).alias(f"_m{i}"), F.min(fin).alias(f"_l{i}"),
-                 F.max(fin).alias(f"_h{i}")]
-        items.append((c, f"_m{i}", f"_l{i}", f"_h{i}"))
-    row = df.agg(*aggs)
-    arr = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(m).alias("median"),
-                             F.col(lo).alias("low"), F.col(hi).alias("high"))
-                    for c, m, lo, hi in items])
-    return row.select(F.explode(arr).alias("r")).select("r.*")
+        aggs += [F.min(c).alias(f"_l{i}"), F.max(c).alias(f"_h{i}")]
+        items.append((c, f"_l{i}", f"_h{i}"))
+    row = fin.agg(*aggs)
+    arr = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(lo).alias("low"),
+                             F.col(hi).alias("high")) for c, lo, hi in items])
+    rng = row.select(F.explode(arr).alias("r")).select("r.*")
+    med = exact_quantiles(fin, cols, [0.5]).select("variable", F.col("value").alias("median"))
+    return rng.join(med, "variable", "left").select("variable", "median", "low", "high")

@@ -1,33 +1,48 @@
 """Ordered running sums and row numbers without a one-task window.
 
 A window ordered over a whole table (or over a 2-valued label) runs in one
-task.  Here the order column is cut into ranges at approximate quantiles
-(``approxQuantile``: a bounded list of split points); per (group, range)
-totals are tiny and their exclusive prefix sums become offsets; the running
-sum inside each range is a window partitioned by (group, range), so the
-work spreads over as many tasks as there are ranges.
+task.  Here each group's order column is cut into ranges at approximate
+quantiles (``percentile_approx`` per group: a fixed-size sketch, so the
+split table has one small array per group); per (group, range) totals are
+tiny and their exclusive prefix sums become offsets; the running sum inside
+each range is a window partitioned by (group, range), so the work spreads
+over as many tasks as there are ranges.  Meant for few groups (folds,
+labels, variables): the split and offset tables are broadcast after their
+row count is checked.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_OFFSET_ROWS = 1_000_000  # broadcast bound for the offsets table
+MAX_BROADCAST_ROWS = 200_000  # bound for the split / offset tables
 
 
-def range_id(df: DataFrame, order_col: str, n_ranges: int, rel_err: float = 0.001) -> Column:
-    """Expression giving the index of the quantile range holding ``order_col``."""
+def _maybe_broadcast(df: DataFrame) -> DataFrame:
+    n = df.limit(MAX_BROADCAST_ROWS + 1).count()
+    return F.broadcast(df) if n <= MAX_BROADCAST_ROWS else df
+
+
+def with_range_id(df: DataFrame, group_cols: Sequence[str], order_col: str,
+                  n_ranges: int = 64, name: str = "_rid") -> DataFrame:
+    """Add the index of the per-group quantile range holding ``order_col``."""
+    group_cols = list(group_cols)
     probs = [i / n_ranges for i in range(1, n_ranges)]
-    splits = sorted(set(v for v in df.approxQuantile(order_col, probs, rel_err) if v is not None))
-    if not splits:
-        return F.lit(0)
-    # number of split points <= value (a binary search over a literal array)
-    arr = F.array(*[F.lit(float(s)) for s in splits])
     x = F.col(order_col).cast("double")
-    return F.size(F.filter(arr, lambda s: s <= x))
+    if group_cols:
+        splits = df.groupBy(*group_cols).agg(
+            F.array_distinct(F.percentile_approx(x, probs, 10000)).alias("_splits"))
+        d = df.join(_maybe_broadcast(splits), on=group_cols, how="left")
+    else:
+        splits = df.agg(F.array_distinct(F.percentile_approx(x, probs, 10000)).alias("_splits"))
+        arr = splits.first()["_splits"] or []
+        d = df.withColumn("_splits", F.array(*[F.lit(float(s)) for s in arr])
+                          if arr else F.array().cast("array<double>"))
+    rid = F.size(F.filter(F.col("_splits"), lambda s: s <= x))
+    return d.withColumn(name, F.coalesce(rid, F.lit(0))).drop("_splits")
 
 
 def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
@@ -39,18 +54,15 @@ def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
     ``inclusive=False`` gives the sum over strictly earlier rows.
     """
     group_cols = list(group_cols)
-    rid = range_id(df, order_cols[0], n_ranges)
-    d = df.withColumn("_rid", rid)
+    d = with_range_id(df, group_cols, order_cols[0], n_ranges)
     totals = d.groupBy(*group_cols, "_rid").agg(F.sum(value_col).alias("_t"))
     wo = Window.partitionBy(*group_cols).orderBy("_rid").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = totals.select(*group_cols, "_rid",
                             F.coalesce(F.sum("_t").over(wo), F.lit(0)).alias("_off"))
-    n_off = offsets.limit(MAX_OFFSET_ROWS + 1).count()
-    offsets = F.broadcast(offsets) if n_off <= MAX_OFFSET_ROWS else offsets
     frame = (Window.unboundedPreceding, 0 if inclusive else -1)
     wi = Window.partitionBy(*group_cols, "_rid").orderBy(*order_cols).rowsBetween(*frame)
-    return (d.join(offsets, on=group_cols + ["_rid"], how="left")
+    return (d.join(_maybe_broadcast(offsets), on=group_cols + ["_rid"], how="left")
              .withColumn(out, F.col("_off") + F.coalesce(F.sum(value_col).over(wi), F.lit(0)))
              .drop("_rid", "_off"))
 

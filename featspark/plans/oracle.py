@@ -227,3 +227,269 @@ GROUP BY client_id"""
 
 def ever_late_count():
     return fin(_ever_late_sql(), [("client_id", "i"), ("Ever_DPD_Count_POS_CASH", "i")])
+
+
+# ---- application row-wise features -----------------------------------------
+
+from featspark.plans.sqlgen import APP_WIDE  # noqa: E402
+
+APP_RATIO_COLS = [
+    "CNT_CHILDREN", "AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE",
+    "DAYS_BIRTH", "DAYS_EMPLOYED", "OWN_CAR_AGE", "CNT_FAM_MEMBERS",
+    "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "DAYS_LAST_PHONE_CHANGE",
+]
+DOC_FLAGS = ["FLAG_DOCUMENT_2", "FLAG_DOCUMENT_3", "FLAG_DOCUMENT_4"]
+ADDRESS_FLAGS = ["REG_REGION_NOT_LIVE_REGION", "REG_CITY_NOT_LIVE_CITY",
+                 "LIVE_CITY_NOT_WORK_CITY"]
+NA_COLS = APP_RATIO_COLS + DOC_FLAGS + ADDRESS_FLAGS + ["c_mktsegment", "NATION"]
+SCORES = ["EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3"]
+
+
+def div(a: str, b: str) -> str:
+    return f"(CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0))"
+
+
+def nulls(cols) -> str:
+    return " + ".join(f"CAST({q(c)} IS NULL AS INTEGER)" for c in cols)
+
+
+def affordability_block():
+    emp, birth = "emp", "DAYS_BIRTH"
+    exprs = [
+        ("DAYS_EMPLOYED_PERC", f"CASE WHEN {div(emp, birth)} >= 0 THEN sqrt({div(emp, birth)}) END"),
+        ("INCOME_CREDIT_PERC", div("AMT_INCOME_TOTAL", "AMT_CREDIT")),
+        ("INCOME_PER_PERSON", f"CASE WHEN {div('AMT_INCOME_TOTAL', 'CNT_FAM_MEMBERS')} > -1 "
+                              f"THEN ln(1 + {div('AMT_INCOME_TOTAL', 'CNT_FAM_MEMBERS')}) END"),
+        ("ANNUITY_INCOME_PERC",
+         f"CASE WHEN {div('AMT_ANNUITY', '(1 + AMT_INCOME_TOTAL)')} >= 0 "
+         f"THEN sqrt({div('AMT_ANNUITY', '(1 + AMT_INCOME_TOTAL)')}) END"),
+        ("LOAN_INCOME_RATIO", div("AMT_CREDIT", "AMT_INCOME_TOTAL")),
+        ("ANNUITY_LENGTH", div("AMT_CREDIT", "AMT_ANNUITY")),
+        ("CHILDREN_RATIO", div("CNT_CHILDREN", "CNT_FAM_MEMBERS")),
+        ("CREDIT_TO_GOODS_RATIO", div("AMT_CREDIT", "AMT_GOODS_PRICE")),
+        ("INC_PER_CHLD", div("AMT_INCOME_TOTAL", "(1 + CNT_CHILDREN)")),
+        ("SOURCES_PROD", "EXT_SOURCE_1 * EXT_SOURCE_2 * EXT_SOURCE_3"),
+        ("CAR_TO_BIRTH_RATIO", div("OWN_CAR_AGE", birth)),
+        ("CAR_TO_EMPLOY_RATIO", div("OWN_CAR_AGE", emp)),
+        ("PHONE_TO_BIRTH_RATIO", div("DAYS_LAST_PHONE_CHANGE", birth)),
+        ("PHONE_TO_EMPLOY_RATIO", div("DAYS_LAST_PHONE_CHANGE", emp)),
+    ]
+    inner = (f"SELECT client_id, na, emp AS DAYS_EMPLOYED, "
+             + ", ".join(f"{e} AS {n}" for n, e in exprs)
+             + f" FROM (SELECT *, {nulls(NA_COLS)} AS na, NULLIF(DAYS_EMPLOYED, 365243) AS emp "
+             f"FROM ({APP_WIDE}) a) t")
+    cols = [("client_id", "i"), ("na", "i"), ("DAYS_EMPLOYED", "i")] + [(n, "d") for n, _ in exprs]
+    return fin(inner, cols)
+
+
+def pair_ratios():
+    sel, cols = [], [("client_id", "i")]
+    for a in APP_RATIO_COLS:
+        for b in APP_RATIO_COLS:
+            if a != b:
+                n = f"{a}_{b}_ratio_application"
+                sel.append(f"{div(a, b)} AS {q(n)}")
+                cols.append((n, "d"))
+    return fin(f"SELECT client_id, {', '.join(sel)} FROM ({APP_WIDE}) a", cols)
+
+
+def row_null_and_flag_counts():
+    inner = (f"SELECT client_id, {' + '.join(DOC_FLAGS)} AS Document_Count_application, "
+             f"{' + '.join(ADDRESS_FLAGS)} AS Reg_mismatch_count_application, "
+             f"{nulls(NA_COLS)} AS na FROM ({APP_WIDE}) a")
+    return fin(inner, [("client_id", "i"), ("Document_Count_application", "i"),
+                       ("Reg_mismatch_count_application", "i"), ("na", "i")])
+
+
+def row_score_stats():
+    lst = "[" + ", ".join(SCORES) + "]"
+    allnn = " AND ".join(f"{s} IS NOT NULL" for s in SCORES)
+    miss = nulls(SCORES)
+    inner = f"""SELECT client_id,
+      list_aggregate({lst}, 'avg') AS Avg_EXT_SOURCE_application,
+      list_aggregate({lst}, 'stddev_samp') AS SD_EXT_SOURCE_application,
+      {miss} AS EXT_SOURCE_missing_cnt_application,
+      CASE WHEN {allnn} THEN greatest({', '.join(SCORES)}) END AS EXT_SOURCE_max_application,
+      CASE WHEN {allnn} THEN least({', '.join(SCORES)}) END AS EXT_SOURCE_min_application,
+      CASE WHEN {miss} < 2 AND {allnn}
+           THEN greatest({', '.join(SCORES)}) - least({', '.join(SCORES)}) END
+        AS EXT_SOURCE_range_application
+    FROM ({APP_WIDE}) a"""
+    return fin(inner, [("client_id", "i"), ("Avg_EXT_SOURCE_application", "d"),
+                       ("SD_EXT_SOURCE_application", "d"),
+                       ("EXT_SOURCE_missing_cnt_application", "i"),
+                       ("EXT_SOURCE_max_application", "d"), ("EXT_SOURCE_min_application", "d"),
+                       ("EXT_SOURCE_range_application", "d")])
+
+
+# columns with NULLs in the train rows (score_2 / FLAG_DOCUMENT_3 are NULL only
+# for test clients, so they are not imputed)
+IMPUTE_COLS = [("EXT_SOURCE_1", "d"), ("EXT_SOURCE_3", "d"),
+               ("FLAG_DOCUMENT_2", "i"), ("FLAG_DOCUMENT_4", "i")]
+
+
+def _mode_sql(src: str, col: str) -> str:
+    return (f"(SELECT {col} FROM {src} WHERE {col} IS NOT NULL GROUP BY {col} "
+            f"ORDER BY COUNT(*) DESC, {col} ASC LIMIT 1)")
+
+
+def impute_mean_median_mode():
+    sel, cols = [], [("client_id", "i")]
+    for st in ("mean", "median", "mode"):
+        for c, k in IMPUTE_COLS:
+            if st == "mean":
+                v = f"(SELECT AVG({c}) FROM tr)"
+            elif st == "median":
+                v = f"(SELECT quantile_cont({c}, 0.5) FROM tr)"
+            else:
+                v = _mode_sql("tr", c)
+            n = f"{c}_tr{st}"
+            kk = k if st == "mode" else "d"
+            sel.append(f"COALESCE({'CAST(' + c + ' AS DOUBLE)' if kk == 'd' else c}, {v}) AS {q(n)}")
+            cols.append((n, kk))
+    inner = (f"WITH app AS ({APP_WIDE}), tr AS (SELECT * FROM app WHERE NOT is_test) "
+             f"SELECT client_id, {', '.join(sel)} FROM app WHERE is_test")
+    return fin(inner, cols)
+
+
+NATIONS = [str(i) for i in range(25)]
+
+
+def one_hot():
+    sel, cols = [], [("client_id", "i")]
+    for c, vocab in (("c_mktsegment", SEGMENTS), ("NATION", NATIONS)):
+        for v in vocab:
+            n = f"{c}_{v}"
+            sel.append(f"COALESCE(CAST({c} = '{v}' AS INTEGER), 0) AS {q(n)}")
+            cols.append((n, "i"))
+    return fin(f"SELECT client_id, {', '.join(sel)} FROM ({APP_WIDE}) a WHERE NOT is_test", cols)
+
+
+def label_encode_query():
+    inner = f"""SELECT b.client_id, b.credit_id, s.code AS o_orderstatus, p.code AS o_orderpriority
+    FROM ({BUREAU}) b
+    LEFT JOIN (SELECT o_orderstatus, DENSE_RANK() OVER (ORDER BY o_orderstatus) AS code
+               FROM (SELECT DISTINCT o_orderstatus FROM orders WHERE o_orderstatus IS NOT NULL)) s
+      ON b.o_orderstatus = s.o_orderstatus
+    LEFT JOIN (SELECT o_orderpriority, DENSE_RANK() OVER (ORDER BY o_orderpriority) AS code
+               FROM (SELECT DISTINCT o_orderpriority FROM orders
+                     WHERE o_orderpriority IS NOT NULL)) p
+      ON b.o_orderpriority = p.o_orderpriority"""
+    return fin(inner, [("client_id", "i"), ("credit_id", "i"), ("o_orderstatus", "i"),
+                       ("o_orderpriority", "i")])
+
+
+def union_with_origin():
+    base = "client_id, c_nationkey, c_mktsegment, c_acctbal, score_1, score_2, score_3"
+    inner = (f"SELECT {base}, 0 AS is_test FROM ({APP}) a WHERE NOT is_test UNION ALL "
+             f"SELECT {base}, 1 AS is_test FROM ({APP}) a WHERE is_test")
+    return fin(inner, [("client_id", "i"), ("c_nationkey", "i"), ("c_mktsegment", "s"),
+                       ("c_acctbal", "d"), ("score_1", "d"), ("score_2", "d"), ("score_3", "d"),
+                       ("is_test", "i")])
+
+
+def suffix_join():
+    means = ", ".join(f"(SELECT AVG({s}) FROM app) AS m_{s}" for s in SCORES)
+    right = ", ".join(f"COALESCE({s}, m_{s}) AS {s}_y" for s in SCORES)
+    inner = (f"WITH app AS ({APP_WIDE}), m AS (SELECT {means}) "
+             f"SELECT l.client_id, "
+             + ", ".join(f"l.{s} AS {s}_x" for s in SCORES)
+             + f", l.DAYS_EMPLOYED AS DAYS_EMPLOYED_x, r.* EXCLUDE (client_id) FROM app l "
+             f"LEFT JOIN (SELECT client_id, {right}, DAYS_EMPLOYED AS DAYS_EMPLOYED_y "
+             f"FROM app, m) r ON l.client_id = r.client_id")
+    cols = ([("client_id", "i")] + [(f"{s}_x", "d") for s in SCORES] + [("DAYS_EMPLOYED_x", "i")]
+            + [(f"{s}_y", "d") for s in SCORES] + [("DAYS_EMPLOYED_y", "i")])
+    return fin(inner, cols)
+
+
+def duplicate_keys():
+    inner = ("SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem "
+             "GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1")
+    return fin(inner, [("l_orderkey", "i"), ("l_linenumber", "i"), ("n", "i")])
+
+
+def category_drift():
+    def freq(cond, name):
+        return (f"SELECT c_mktsegment AS category, COUNT(*) / SUM(COUNT(*)) OVER () AS {name} "
+                f"FROM ({APP}) a WHERE {cond} AND c_mktsegment IS NOT NULL GROUP BY c_mktsegment")
+    inner = (f"SELECT COALESCE(t.category, s.category) AS category, t.freq_train, s.freq_test "
+             f"FROM ({freq('NOT is_test', 'freq_train')}) t FULL OUTER JOIN "
+             f"({freq('is_test', 'freq_test')}) s ON t.category = s.category")
+    return fin(inner, [("category", "s"), ("freq_train", "d"), ("freq_test", "d")])
+
+
+def _describe_sql(src: str, cols, name: str) -> str:
+    parts = []
+    for c in cols:
+        x = f"CAST({c} AS DOUBLE)"
+        for st, e in (("count", f"COUNT({x})"), ("mean", f"AVG({x})"),
+                      ("std", f"STDDEV_SAMP({x})"), ("min", f"MIN({x})"),
+                      ("25%", f"quantile_cont({x}, 0.25)"), ("50%", f"quantile_cont({x}, 0.5)"),
+                      ("75%", f"quantile_cont({x}, 0.75)"), ("max", f"MAX({x})")):
+            parts.append(f"SELECT '{c}' AS variable, '{st}' AS statistic, "
+                         f"CAST({e} AS DOUBLE) AS {name} FROM {src}")
+    return " UNION ALL ".join(parts)
+
+
+def describe_compare():
+    cols = ["o_totalprice", "days_credit"]
+    inner = (f"WITH b AS ({BUREAU}), e AS (SELECT * FROM b WHERE days_credit < -1200), "
+             f"l AS (SELECT * FROM b WHERE days_credit >= -1200) "
+             f"SELECT x.variable, x.statistic, x.early, y.late FROM "
+             f"({_describe_sql('e', cols, 'early')}) x JOIN "
+             f"({_describe_sql('l', cols, 'late')}) y USING (variable, statistic)")
+    return fin(inner, [("variable", "s"), ("statistic", "s"), ("early", "d"), ("late", "d")])
+
+
+def skewness():
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    inner = " UNION ALL ".join(
+        f"SELECT '{c}' AS variable, skewness(CAST({c} AS DOUBLE)) AS skew FROM lineitem"
+        for c in cols)
+    return fin(inner, [("variable", "s"), ("skew", "d")])
+
+
+def corr_matrix():
+    cols = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "EXT_SOURCE_1", "EXT_SOURCE_2", "DAYS_BIRTH"]
+    parts = [f"SELECT '{a}' AS var1, '{b}' AS var2, "
+             f"corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS corr FROM app"
+             for a in cols for b in cols]
+    inner = f"WITH app AS ({APP_WIDE}) " + " UNION ALL ".join(parts)
+    return fin(inner, [("var1", "s"), ("var2", "s"), ("corr", "d")])
+
+
+def _hist_sql(values_sql: str, bins: int) -> str:
+    return f"""
+WITH v AS (SELECT CAST(x AS DOUBLE) AS x FROM ({values_sql}) s WHERE x IS NOT NULL AND NOT isnan(CAST(x AS DOUBLE))),
+e AS (SELECT CASE WHEN MIN(x) = MAX(x) THEN MIN(x) - 0.5 ELSE MIN(x) END AS lo,
+             CASE WHEN MIN(x) = MAX(x) THEN MAX(x) + 0.5 ELSE MAX(x) END AS hi FROM v),
+c AS (SELECT CAST(least(floor((x - lo) / (hi - lo) * {bins}), {bins - 1}) AS INTEGER) AS bin,
+             COUNT(*) AS n FROM v, e GROUP BY 1),
+g AS (SELECT CAST(range AS INTEGER) AS bin FROM range({bins}))
+SELECT g.bin, lo + g.bin * (hi - lo) / {bins} AS lower, lo + (g.bin + 1) * (hi - lo) / {bins} AS upper,
+       COALESCE(c.n, 0) AS n
+FROM g CROSS JOIN e LEFT JOIN c ON g.bin = c.bin"""
+
+
+HIST_COLS = [("bin", "i"), ("lower", "d"), ("upper", "d"), ("n", "i")]
+
+
+def histogram():
+    return fin(_hist_sql(f"SELECT o_totalprice AS x FROM ({BUREAU}) b", 20), HIST_COLS)
+
+
+def group_size_histogram():
+    return fin(_hist_sql(f"SELECT COUNT(credit_id) AS x FROM ({BUREAU}) b GROUP BY client_id", 10),
+               HIST_COLS)
+
+
+def missing_counts():
+    cols = ["client_id", "label", "is_test", "weight", "c_mktsegment", "NATION",
+            "AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "CNT_CHILDREN",
+            "CNT_FAM_MEMBERS", "DAYS_BIRTH", "DAYS_EMPLOYED", "EXT_SOURCE_1", "EXT_SOURCE_2",
+            "EXT_SOURCE_3", "OWN_CAR_AGE", "DAYS_LAST_PHONE_CHANGE"] + DOC_FLAGS + ADDRESS_FLAGS
+    parts = [f"SELECT '{c}' AS variable, COUNT(*) FILTER (WHERE {c} IS NULL) AS n_missing FROM app"
+             for c in cols]
+    inner = (f"WITH app AS ({APP_WIDE}) SELECT * FROM ({' UNION ALL '.join(parts)}) u "
+             f"WHERE n_missing > 0")
+    return fin(inner, [("variable", "s"), ("n_missing", "i")])

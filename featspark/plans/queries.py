@@ -156,3 +156,157 @@ def ever_late_frame(spark, d):
 def ever_late_count(spark, d):
     """O-D15: loans ever past due per client (null-contagious)."""
     return finalize(ever_late_frame(spark, d))
+
+
+# ---- application row-wise features ----------------------------------------
+
+from featspark.operators import columns as C  # noqa: E402
+from featspark.operators import encode as E  # noqa: E402
+from featspark.operators import impute as I  # noqa: E402
+from featspark.operators import profile as PR  # noqa: E402
+from featspark.operators import rowwise as RW  # noqa: E402
+
+NA_COLS = R.APP_RATIO_COLS + R.DOC_FLAGS + R.ADDRESS_FLAGS + ["c_mktsegment", "NATION"]
+SCORES = ["EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3"]
+
+
+def affordability_frame(spark, d):
+    return RW.affordability(R.application_wide(spark, d), KEY, NA_COLS)
+
+
+def affordability_block(spark, d):
+    """O-B8..B11, O-B16, O-H2: affordability ratios with sentinel clean-up."""
+    return finalize(affordability_frame(spark, d))
+
+
+def pair_ratio_frame(spark, d):
+    return RW.pair_ratios(R.application_wide(spark, d), R.APP_RATIO_COLS, KEY)
+
+
+def pair_ratios(spark, d):
+    """O-B14: all ordered ratios of 13 application columns (156 columns)."""
+    return finalize(pair_ratio_frame(spark, d))
+
+
+def flag_frame(spark, d):
+    return RW.flag_counts(R.application_wide(spark, d),
+                          {"Document_Count_application": R.DOC_FLAGS,
+                           "Reg_mismatch_count_application": R.ADDRESS_FLAGS}, KEY, NA_COLS)
+
+
+def row_null_and_flag_counts(spark, d):
+    """O-B16, O-B17: row null count and null-contagious flag sums."""
+    return finalize(flag_frame(spark, d))
+
+
+def score_frame(spark, d):
+    return RW.score_stats(R.application_wide(spark, d), SCORES, KEY)
+
+
+def row_score_stats(spark, d):
+    """O-B18: row mean/sd/missing/max/min/range of the three scores."""
+    return finalize(score_frame(spark, d))
+
+
+def impute_mean_median_mode(spark, d):
+    """O-B19, O-D9, O-K1: fit on train, fill test, suffix copies per statistic."""
+    app = R.application_wide(spark, d)
+    train, test = app.filter(~F.col("is_test")), app.filter(F.col("is_test"))
+    cand = PR.numeric_columns(app, exclude=[KEY, "label", "weight"])
+    miss = PR.missing_columns(train, cand)
+    frames = [I.impute(test, train, miss, st, f"_tr{st}", keep=[KEY])
+              for st in ("mean", "median", "mode")]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.join(f, KEY)
+    return finalize(out)
+
+
+def one_hot_frame(spark, d):
+    app = R.application_wide(spark, d)
+    train, test = app.filter(~F.col("is_test")), app.filter(F.col("is_test"))
+    vocab = E.fit_one_hot(train, ["c_mktsegment", "NATION"], other=test)
+    return E.one_hot(train.select(KEY, "c_mktsegment", "NATION"), vocab)
+
+
+def one_hot(spark, d):
+    """O-I4, O-B21: one-hot with a vocabulary shared by train and test."""
+    return finalize(one_hot_frame(spark, d))
+
+
+def label_encode_query(spark, d):
+    """O-I5: alphabetical integer codes from 1 for string columns."""
+    b = R.bureau(spark, d).select(KEY, "credit_id", *BUREAU_CAT)
+    return finalize(E.label_encode(b, E.fit_label_codes(b, BUREAU_CAT)))
+
+
+def union_with_origin(spark, d):
+    """O-G1, O-G2: train (without label/weight) stacked on test with a flag."""
+    app = R.application(spark, d)
+    train = app.filter(~F.col("is_test")).drop("is_test")
+    test = app.filter(F.col("is_test")).drop("is_test", "label", "weight")
+    return finalize(J.union_with_origin(train, test, "is_test", drop=["label", "weight"]))
+
+
+def suffix_join(spark, d):
+    """O-C7, O-C2: joining two application-derived frames; shared names get _x/_y."""
+    app = R.application_wide(spark, d)
+    left = app.select(KEY, *SCORES, "DAYS_EMPLOYED")
+    right = I.impute(app.select(KEY, *SCORES, "DAYS_EMPLOYED"), app, SCORES, "mean")
+    return finalize(J.join_with_suffix(left, right, [KEY], "left"))
+
+
+def duplicate_keys(spark, d):
+    """O-D17, O-C8: keys present more than once (line item order x line number)."""
+    li = R.table(spark, d, "lineitem")
+    return finalize(J.duplicate_keys(li, ["l_orderkey", "l_linenumber"]))
+
+
+def category_drift(spark, d):
+    """O-D18, O-D19, O-C10: market-segment shares in train vs test."""
+    app = R.application(spark, d)
+    return finalize(PR.category_drift(app.filter(~F.col("is_test")), app.filter(F.col("is_test")),
+                                      "c_mktsegment", ("freq_train", "freq_test")))
+
+
+def _orders_by_period(spark, d):
+    b = R.bureau(spark, d)
+    early = b.filter(F.col("days_credit") < -1200)
+    late = b.filter(F.col("days_credit") >= -1200)
+    return early, late
+
+
+def describe_compare(spark, d):
+    """O-D20, O-D21, O-C9: describe() of two periods side by side (exact quartiles)."""
+    early, late = _orders_by_period(spark, d)
+    return finalize(PR.describe_compare(early, late, ["o_totalprice", "days_credit"],
+                                        ("early", "late")))
+
+
+def skewness(spark, d):
+    """O-D22: bias-corrected skewness per numeric column."""
+    li = R.table(spark, d, "lineitem")
+    return finalize(PR.skewness(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]))
+
+
+def corr_matrix(spark, d):
+    """O-D23: pairwise-complete Pearson correlations in long form."""
+    app = R.application_wide(spark, d)
+    return finalize(PR.corr_long(app, ["AMT_INCOME_TOTAL", "AMT_CREDIT", "EXT_SOURCE_1",
+                                       "EXT_SOURCE_2", "DAYS_BIRTH"]))
+
+
+def histogram(spark, d):
+    """O-D24: 20 equal-width bins of order value."""
+    return finalize(PR.histogram(R.bureau(spark, d), "o_totalprice", 20))
+
+
+def group_size_histogram(spark, d):
+    """O-D25, O-D24: non-null counts per client, then a 10-bin histogram of them."""
+    sizes = A.nonnull_counts(R.bureau(spark, d), KEY, ["credit_id", "o_totalprice"])
+    return finalize(PR.histogram(sizes, "credit_id", 10))
+
+
+def missing_counts(spark, d):
+    """O-B19: NULL count per column of the application table."""
+    return finalize(PR.missing_counts(R.application_wide(spark, d)))

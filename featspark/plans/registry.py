@@ -10,6 +10,10 @@ _NAMES = [
     "client_time_since_status", "client_overdue_buckets", "client_credit_gap",
     "client_filtered_counts", "loan_client_two_level", "two_level_ratios",
     "loan_mode_stats", "ever_late_count",
+    "affordability_block", "pair_ratios", "row_null_and_flag_counts", "row_score_stats",
+    "impute_mean_median_mode", "one_hot", "label_encode_query", "union_with_origin",
+    "suffix_join", "duplicate_keys", "category_drift", "describe_compare", "skewness",
+    "corr_matrix", "histogram", "group_size_histogram", "missing_counts",
 ]
 
 QUERIES = {n: getattr(Q, n) for n in _NAMES}

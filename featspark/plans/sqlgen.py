@@ -13,13 +13,22 @@ def q(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
+def sround(x: str, places: int) -> str:
+    """SQL twin of ``featspark.functions.expr.stable_round``."""
+    parts, p = [], places
+    while p >= places - 16:
+        parts.append(f"WHEN abs({x}) < {10.0 ** (12 - p)!r} "
+                     f"THEN ROUND({x} + {x} * 1e-13, {p})")
+        p -= 2
+    return f"(CASE {' '.join(parts)} ELSE {x} END)"
+
+
 def fin(inner: str, cols: Sequence[tuple[str, str]]) -> str:
     """Final projection: doubles rounded to 4 places, integers as BIGINT."""
     out = []
     for n, k in cols:
         if k == "d":
-            x = f"CAST({q(n)} AS DOUBLE)"
-            out.append(f"ROUND({x} + {x} * 1e-11, 4) AS {q(n)}")
+            out.append(f"{sround(f'CAST({q(n)} AS DOUBLE)', 4)} AS {q(n)}")
         elif k == "i":
             out.append(f"CAST({q(n)} AS BIGINT) AS {q(n)}")
         else:
@@ -89,7 +98,7 @@ def two_level(src_sql: str, key: str, sub: str, cols: Sequence[str], suffix: str
     l0 = long_union("src", [key, sub], cols)
     lvl2_src = "\nUNION ALL\n".join(
         f"SELECT {key}, name || '_{s}' AS name, "
-        f"ROUND(CAST({q(s)} AS DOUBLE) + CAST({q(s)} AS DOUBLE) * 1e-11, 8) AS value FROM s1"
+        f"{sround(f'CAST({q(s)} AS DOUBLE)', 8)} AS value FROM s1"
         for s in STATS8)
     out_cols, sel = [(key, "i")], [key]
     for c in cols:
@@ -106,3 +115,27 @@ l1 AS ({lvl2_src}),
 s2 AS ({stats8('l1', [key])})
 SELECT {', '.join(sel)} FROM s2 GROUP BY {key}"""
     return sql, out_cols
+
+APP_WIDE = f"""
+SELECT a.client_id, a.label, a.is_test, a.weight, a.c_mktsegment,
+  CAST(a.c_nationkey AS VARCHAR) AS NATION,
+  a.c_acctbal AS AMT_INCOME_TOTAL, p.AMT_CREDIT, p.AMT_ANNUITY, p.AMT_GOODS_PRICE,
+  p.CNT_CHILDREN, p.CNT_FAM_MEMBERS, p.DAYS_BIRTH,
+  CASE WHEN a.c_nationkey = 0 THEN 365243 ELSE p._last END AS DAYS_EMPLOYED,
+  a.score_1 AS EXT_SOURCE_1, a.score_2 AS EXT_SOURCE_2, a.score_3 AS EXT_SOURCE_3,
+  a.c_nationkey AS OWN_CAR_AGE, p._last - p.DAYS_BIRTH AS DAYS_LAST_PHONE_CHANGE,
+  CASE WHEN a.score_1 IS NOT NULL THEN CAST(p._urgent > 0 AS INTEGER) END AS FLAG_DOCUMENT_2,
+  CASE WHEN a.score_2 IS NOT NULL THEN CAST(p._low > 0 AS INTEGER) END AS FLAG_DOCUMENT_3,
+  CASE WHEN a.score_3 IS NOT NULL THEN CAST(p._done > 0 AS INTEGER) END AS FLAG_DOCUMENT_4,
+  CAST(p._urgent > p._low AS INTEGER) AS REG_REGION_NOT_LIVE_REGION,
+  CAST(p._done > p.CNT_CHILDREN AS INTEGER) AS REG_CITY_NOT_LIVE_CITY,
+  CAST(a.c_acctbal < 0 AS INTEGER) AS LIVE_CITY_NOT_WORK_CITY
+FROM ({APP}) a LEFT JOIN (
+  SELECT client_id, SUM(o_totalprice) AS AMT_CREDIT, AVG(o_totalprice) AS AMT_ANNUITY,
+    MAX(o_totalprice) AS AMT_GOODS_PRICE,
+    COUNT(*) FILTER (WHERE o_orderstatus = 'O') AS CNT_CHILDREN, COUNT(*) AS CNT_FAM_MEMBERS,
+    MIN(days_credit) AS DAYS_BIRTH, MAX(days_credit) AS _last,
+    COUNT(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS _urgent,
+    COUNT(*) FILTER (WHERE o_orderpriority = '5-LOW') AS _low,
+    COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS _done
+  FROM ({BUREAU}) b GROUP BY client_id) p ON a.client_id = p.client_id"""

@@ -89,3 +89,64 @@ def installments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+
+
+# Application columns used by the reference's row-wise features, taken from
+# the customer row and a per-client aggregate of its orders (fixed mapping).
+APP_RATIO_COLS = [
+    "CNT_CHILDREN", "AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE",
+    "DAYS_BIRTH", "DAYS_EMPLOYED", "OWN_CAR_AGE", "CNT_FAM_MEMBERS",
+    "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "DAYS_LAST_PHONE_CHANGE",
+]
+DOC_FLAGS = ["FLAG_DOCUMENT_2", "FLAG_DOCUMENT_3", "FLAG_DOCUMENT_4"]
+ADDRESS_FLAGS = ["REG_REGION_NOT_LIVE_REGION", "REG_CITY_NOT_LIVE_CITY",
+                 "LIVE_CITY_NOT_WORK_CITY"]
+EMPLOYED_SENTINEL = 365243
+
+
+def application_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per client with the reference's application column names.
+
+    Orders are aggregated per client first, then joined to the customer row
+    (aggregate before join).  Clients whose nation key is 0 carry the
+    ``DAYS_EMPLOYED`` sentinel 365243; document flags are NULL where the
+    matching score is NULL, so row sums see missing values.
+    """
+    app = application(spark, sf_dir)
+    b = bureau(spark, sf_dir)
+    per = b.groupBy("client_id").agg(
+        F.sum("o_totalprice").alias("AMT_CREDIT"),
+        F.avg("o_totalprice").alias("AMT_ANNUITY"),
+        F.max("o_totalprice").alias("AMT_GOODS_PRICE"),
+        F.count_if(F.col("o_orderstatus") == "O").alias("CNT_CHILDREN"),
+        F.count(F.lit(1)).alias("CNT_FAM_MEMBERS"),
+        F.min("days_credit").alias("DAYS_BIRTH"),
+        F.max("days_credit").alias("_last"),
+        F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("_urgent"),
+        F.count_if(F.col("o_orderpriority") == "5-LOW").alias("_low"),
+        F.count_if(F.col("o_orderstatus") == "F").alias("_done"),
+    )
+    j = app.join(per, "client_id", "left")
+    return j.select(
+        "client_id", "label", "is_test", "weight", "c_mktsegment",
+        F.col("c_nationkey").cast("string").alias("NATION"),
+        F.col("c_acctbal").alias("AMT_INCOME_TOTAL"),
+        "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "CNT_CHILDREN", "CNT_FAM_MEMBERS",
+        "DAYS_BIRTH",
+        F.when(F.col("c_nationkey") == 0, F.lit(EMPLOYED_SENTINEL))
+         .otherwise(F.col("_last")).alias("DAYS_EMPLOYED"),
+        F.col("score_1").alias("EXT_SOURCE_1"),
+        F.col("score_2").alias("EXT_SOURCE_2"),
+        F.col("score_3").alias("EXT_SOURCE_3"),
+        F.col("c_nationkey").alias("OWN_CAR_AGE"),
+        (F.col("_last") - F.col("DAYS_BIRTH")).alias("DAYS_LAST_PHONE_CHANGE"),
+        F.when(F.col("score_1").isNotNull(), (F.col("_urgent") > 0).cast("int"))
+         .alias("FLAG_DOCUMENT_2"),
+        F.when(F.col("score_2").isNotNull(), (F.col("_low") > 0).cast("int"))
+         .alias("FLAG_DOCUMENT_3"),
+        F.when(F.col("score_3").isNotNull(), (F.col("_done") > 0).cast("int"))
+         .alias("FLAG_DOCUMENT_4"),
+        (F.col("_urgent") > F.col("_low")).cast("int").alias("REG_REGION_NOT_LIVE_REGION"),
+        (F.col("_done") > F.col("CNT_CHILDREN")).cast("int").alias("REG_CITY_NOT_LIVE_CITY"),
+        (F.col("c_acctbal") < 0).cast("int").alias("LIVE_CITY_NOT_WORK_CITY"),
+    )
