@@ -128,7 +128,7 @@ def stable_round(x, places: int) -> Column:
     x = _c(x).cast("double")
     a = F.abs(x)
     out, p = None, places
-    while p >= places - 16:
+    while p >= places - 8:
         r = F.round(x + x * F.lit(TIE_NUDGE), p)
         cond = a < F.lit(10.0 ** (12 - p))
         out = F.when(cond, r) if out is None else out.when(cond, r)

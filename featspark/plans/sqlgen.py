@@ -16,7 +16,7 @@ def q(name: str) -> str:
 def sround(x: str, places: int) -> str:
     """SQL twin of ``featspark.functions.expr.stable_round``."""
     parts, p = [], places
-    while p >= places - 16:
+    while p >= places - 8:
         parts.append(f"WHEN abs({x}) < {10.0 ** (12 - p)!r} "
                      f"THEN ROUND({x} + {x} * 1e-13, {p})")
         p -= 2
