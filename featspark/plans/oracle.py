@@ -493,3 +493,135 @@ def missing_counts():
     inner = (f"WITH app AS ({APP_WIDE}) SELECT * FROM ({' UNION ALL '.join(parts)}) u "
              f"WHERE n_missing > 0")
     return fin(inner, [("variable", "s"), ("n_missing", "i")])
+
+
+# ---- splits, metrics ----------------------------------------------------------
+
+MOD, MULT = 2147483647, 1103515245
+
+
+def hsql(key: str, seed: str) -> str:
+    return f"((({key} % {MOD}) * {MULT} + ({seed})) % {MOD})"
+
+
+def _folds_sql(src: str) -> str:
+    return (f"SELECT *, ((ROW_NUMBER() OVER (PARTITION BY label ORDER BY {hsql('client_id', '1234')}, "
+            f"client_id) - 1) % 5) + 1 AS fold FROM ({src}) s")
+
+
+def fold_assign():
+    inner = _folds_sql(f"SELECT client_id, label FROM ({APP_WIDE}) a WHERE NOT is_test")
+    return fin(inner, [("client_id", "i"), ("label", "i"), ("fold", "i")])
+
+
+def _auc_sql(src: str, grp: str, name: str) -> str:
+    return f"""
+SELECT {grp}, SUM(wp * (below + 0.5 * wn)) / NULLIF(SUM(wp) * SUM(wn), 0) AS {name}
+FROM (SELECT *, COALESCE(SUM(wn) OVER (PARTITION BY {grp} ORDER BY score
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+      FROM (SELECT {grp}, CAST(score AS DOUBLE) AS score, SUM(weight * label) AS wp,
+                   SUM(weight * (1 - label)) AS wn
+            FROM {src} WHERE score IS NOT NULL GROUP BY {grp}, score) p) c
+GROUP BY {grp}"""
+
+
+def weighted_auc():
+    base = _folds_sql(f"SELECT client_id, label, weight, COALESCE(AMT_CREDIT, 0) AS score "
+                      f"FROM ({APP_WIDE}) a WHERE NOT is_test")
+    inner = f"""
+WITH b AS ({base}),
+v AS ({_auc_sql('b', 'fold', 'Validation_AUC')}),
+t AS ({_auc_sql('(SELECT b.*, r.k FROM b, range(1, 6) r(k) WHERE b.fold <> r.k)', 'k',
+                'Train_AUC')}),
+per AS (SELECT 'fold_' || CAST(v.fold AS VARCHAR) AS Fold_Name, Validation_AUC, Train_AUC
+        FROM v JOIN t ON v.fold = t.k)
+SELECT * FROM per UNION ALL
+SELECT 'fold_AVG', SUM(Validation_AUC) / 5, SUM(Train_AUC) / 5 FROM per"""
+    return fin(inner, [("Fold_Name", "s"), ("Validation_AUC", "d"), ("Train_AUC", "d")])
+
+
+def density_odds():
+    inner = f"""
+SELECT client_id, AVG(p) / NULLIF(1 - AVG(p), 0) AS Weights
+FROM (SELECT client_id, 1 / (1 + exp(-(c_acctbal / 5000 + r.i / 15 - 0.5))) AS p
+      FROM ({APP}) a, range(15) r(i) WHERE NOT is_test) l
+GROUP BY client_id"""
+    return fin(inner, [("client_id", "i"), ("Weights", "d")])
+
+
+PD_COLS = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "DAYS_BIRTH", "EXT_SOURCE_1",
+           "EXT_SOURCE_3"]
+PD_EXPLORE = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "DAYS_BIRTH"]
+
+
+def pd_grid():
+    st = ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS m_{c}, "
+                   f"CAST(MIN({c}) AS DOUBLE) AS lo_{c}, CAST(MAX({c}) AS DOUBLE) AS hi_{c}"
+                   for c in PD_COLS)
+    ev = " UNION ALL ".join(f"SELECT '{v}' AS v" for v in PD_EXPLORE)
+    sel = []
+    for c in PD_COLS:
+        grid = (f"CASE WHEN point = 99 THEN hi_{c} "
+                f"ELSE lo_{c} + point * ((hi_{c} - lo_{c}) / 99) END")
+        sel.append(f"CASE WHEN e.v = '{c}' THEN {grid} ELSE m_{c} END AS {c}")
+    inner = (f"WITH tr AS (SELECT * FROM ({APP_WIDE}) a WHERE NOT is_test), st AS (SELECT {st} FROM tr), "
+             f"g AS (SELECT CAST(range AS INTEGER) AS point FROM range(100)), e AS ({ev}) "
+             f"SELECT e.v AS Batch_Var, point, {', '.join(sel)} FROM e, g, st")
+    return fin(inner, [("Batch_Var", "s"), ("point", "i")] + [(c, "d") for c in PD_COLS])
+
+
+def top_k():
+    inner = (f"SELECT client_id, AMT_CREDIT FROM ({APP_WIDE}) a "
+             f"ORDER BY AMT_CREDIT DESC NULLS LAST, client_id LIMIT 10")
+    return fin(inner, [("client_id", "i"), ("AMT_CREDIT", "d")])
+
+
+def column_agreement():
+    nums = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "DAYS_BIRTH",
+            "DAYS_EMPLOYED"]
+    kinds = {"AMT_INCOME_TOTAL": "d", "AMT_CREDIT": "d", "AMT_ANNUITY": "d",
+             "AMT_GOODS_PRICE": "d", "DAYS_BIRTH": "i", "DAYS_EMPLOYED": "i"}
+    sel = [f"{c} AS {c}_app" for c in nums]
+    cols = [(f"{c}_app", kinds[c]) for c in nums]
+    for v in SEGMENTS:
+        sel.append(f"COALESCE(CAST(c_mktsegment = '{v}' AS INTEGER), 0) AS c_mktsegment_{v}_app")
+        cols.append((f"c_mktsegment_{v}_app", "i"))
+    inner = f"SELECT {', '.join(sel)}, client_id, label, weight FROM ({APP_WIDE}) a WHERE NOT is_test"
+    return fin(inner, cols + [("client_id", "i"), ("label", "i"), ("weight", "d")])
+
+
+def submission_merge():
+    inner = f"SELECT client_id, 1 / (1 + exp(-c_acctbal / 1000)) AS TARGET FROM ({APP}) a WHERE is_test"
+    return fin(inner, [("client_id", "i"), ("TARGET", "d")])
+
+
+def csv_round_trip():
+    inner = f"SELECT client_id, c_nationkey, c_mktsegment, c_acctbal, score_1, is_test FROM ({APP}) a"
+    return fin(inner, [("client_id", "i"), ("c_nationkey", "i"), ("c_mktsegment", "s"),
+                       ("c_acctbal", "d"), ("score_1", "d"), ("is_test", "s")])
+
+
+def holdout_split():
+    inner = (f"SELECT client_id, CASE WHEN CAST({hsql('client_id', '42')} AS DOUBLE) / {MOD}.0 < 0.33 "
+             f"THEN 1 ELSE 0 END AS holdout FROM ({APP_WIDE}) a WHERE NOT is_test")
+    return fin(inner, [("client_id", "i"), ("holdout", "i")])
+
+
+def bootstrap_samples():
+    inner = (f"SELECT r.i AS iteration, client_id FROM ({APP}) a, range(15) r(i) "
+             f"WHERE CAST({hsql('client_id', '7000 + r.i')} AS DOUBLE) / {MOD}.0 < 0.3")
+    return fin(inner, [("iteration", "i"), ("client_id", "i")])
+
+
+def preview():
+    inner = f"SELECT client_id, c_mktsegment, c_acctbal FROM ({APP}) a ORDER BY client_id LIMIT 5"
+    return fin(inner, [("client_id", "i"), ("c_mktsegment", "s"), ("c_acctbal", "d")])
+
+
+def natural_join():
+    bcols = _basic_stats_cols(["o_totalprice", "days_credit"], "_bureau",
+                              {"o_totalprice": "d", "days_credit": "i"})
+    bsql = _basic_stats_sql(BUREAU, "client_id", ["o_totalprice", "days_credit"], "_bureau")
+    fcols, fsql = _filtered_parts()
+    inner = f"SELECT * FROM ({bsql}) a JOIN ({fsql}) b USING (client_id)"
+    return fin(inner, [("client_id", "i")] + bcols + fcols)

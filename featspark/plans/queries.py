@@ -310,3 +310,202 @@ def group_size_histogram(spark, d):
 def missing_counts(spark, d):
     """O-B19: NULL count per column of the application table."""
     return finalize(PR.missing_counts(R.application_wide(spark, d)))
+
+
+# ---- splits, metrics, models ------------------------------------------------
+
+from featspark.operators import explain as XP  # noqa: E402
+from featspark.operators import metrics as M  # noqa: E402
+from featspark.operators import model as ML  # noqa: E402
+from featspark.operators import split as S  # noqa: E402
+from featspark.operators import weights as WT  # noqa: E402
+from featspark.sources import io as IO  # noqa: E402
+
+
+def _train(spark, d):
+    return R.application_wide(spark, d).filter(~F.col("is_test"))
+
+
+def fold_assign(spark, d):
+    """O-I1, O-B7: stratified 5-fold assignment over train clients."""
+    tr = _train(spark, d).select(KEY, "label")
+    return finalize(S.stratified_folds(tr, KEY, "label", 5, 1234))
+
+
+def _scored_train(spark, d):
+    """Train clients with a score (total order value), label, weight, fold."""
+    tr = _train(spark, d).select(KEY, "label", "weight", F.coalesce("AMT_CREDIT", F.lit(0.0))
+                                 .alias("score"))
+    return S.stratified_folds(tr, KEY, "label", 5, 1234)
+
+
+def weighted_auc(spark, d):
+    """O-D27, O-D28, O-A7: weighted AUC of a score per fold, train and validation."""
+    return finalize(M.fold_auc_table(_scored_train(spark, d), "label", "score", "weight"))
+
+
+def density_odds(spark, d):
+    """O-D29, O-H11, O-I11: average P(test) over 15 resample scores, odds per row.
+
+    The per-iteration probabilities are a fixed logistic of the balance, so
+    the averaging and odds steps can be checked exactly.
+    """
+    tr = R.application(spark, d).filter(~F.col("is_test")).select(KEY, "c_acctbal")
+    it = F.explode(F.sequence(F.lit(0), F.lit(14))).alias("iteration")
+    long = tr.select(KEY, "c_acctbal", it).select(
+        KEY, "iteration",
+        (1 / (1 + F.exp(-(F.col("c_acctbal") / 5000 + F.col("iteration") / 15 - 0.5))))
+        .alias("p_test"))
+    w = WT.odds_weights(long, KEY)
+    WT.check_all_weighted(tr, w, KEY)
+    return finalize(w)
+
+
+PD_COLS = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "DAYS_BIRTH", "EXT_SOURCE_1",
+           "EXT_SOURCE_3"]
+PD_EXPLORE = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "DAYS_BIRTH"]
+
+
+def pd_grid(spark, d):
+    """O-I13 grid, O-D26, O-C13, O-H10: 100-point grids, other columns at median."""
+    return finalize(XP.pd_grid(_train(spark, d), PD_COLS, PD_EXPLORE, 100))
+
+
+def top_k(spark, d):
+    """O-F1, O-F2: the 10 clients with the highest total order value."""
+    app = R.application_wide(spark, d).select(KEY, "AMT_CREDIT")
+    return finalize(XP.top_k(app, "AMT_CREDIT", 10, KEY))
+
+
+def column_agreement(spark, d):
+    """O-B1..B4, O-B13, O-B20, O-B21, O-I14: per-set one-hot, name differences,
+    trim to shared columns, manifest selection, suffix."""
+    app = R.application_wide(spark, d)
+    train, test = app.filter(~F.col("is_test")), app.filter(F.col("is_test"))
+    cats = C.columns_of_type(app, "string")
+    tr = E.one_hot(train, E.fit_one_hot(train, cats)).drop("is_test")
+    te = E.one_hot(test, E.fit_one_hot(test, cats)).drop("is_test", "label", "weight")
+    tr, te = C.align_train_test(tr, te, train_only=["label", "weight"], strict=False)
+    feats = C.names_matching(C.columns_of_type(te, "numeric"), include=r"^(AMT_|DAYS_|c_mkt)",
+                             exclude=["DAYS_LAST"])
+    out = C.select_manifest(tr, feats, extra=[KEY, "label", "weight"])
+    return finalize(C.add_suffix(out, "_app", exclude=[KEY, "label", "weight"]))
+
+
+def submission_merge(spark, d):
+    """O-C11, O-I15: template of test clients left-merged with predictions."""
+    app = R.application(spark, d)
+    template = app.filter(F.col("is_test")).select(KEY, F.lit(0.5).alias("TARGET"))
+    preds = app.filter(F.col("is_test")).select(
+        KEY, (1 / (1 + F.exp(-F.col("c_acctbal") / 1000))).alias("TARGET"))
+    return finalize(J.merge_template(template, preds, KEY, drop=["TARGET"]))
+
+
+def csv_round_trip(spark, d):
+    """O-A1..A5: write CSV (no index) to the shared checkpoint folder, read it
+    back with an explicit schema and the NA rule."""
+    import uuid
+
+    from featspark.session import ensure_checkpoint_dir
+    app = R.application(spark, d).select(KEY, "c_nationkey", "c_mktsegment", "c_acctbal",
+                                         "score_1", "is_test")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    IO.write_csv(app, path)
+    schema = ("client_id bigint, c_nationkey int, c_mktsegment string, c_acctbal double, "
+              "score_1 double, is_test boolean")
+    return finalize(IO.read_csv(spark, path, schema, na_token="NA"))
+
+
+def schema_manifest(spark, d):
+    """O-A5: (position, name, dtype) of the application feature frame."""
+    return IO.schema_manifest(affordability_frame(spark, d))
+
+
+def holdout_split(spark, d):
+    """O-I2: 33 % hash hold-out of train clients."""
+    tr = _train(spark, d).select(KEY)
+    fit, hold = S.holdout_split(tr, KEY, 0.33, 42)
+    return finalize(fit.withColumn("holdout", F.lit(0)).unionByName(
+        hold.withColumn("holdout", F.lit(1))))
+
+
+def bootstrap_samples(spark, d):
+    """O-I3: 15 subsamples of 30 % of all clients, one pass."""
+    app = R.application(spark, d).select(KEY)
+    return finalize(S.repeated_subsamples(app, KEY, 0.3, 15, 7))
+
+
+def preview(spark, d):
+    """O-A8, O-F3: first five clients by key."""
+    return finalize(IO.preview(R.application(spark, d).select(KEY, "c_mktsegment", "c_acctbal"),
+                               KEY, 5))
+
+
+def natural_join(spark, d):
+    """O-C6: join on all shared column names."""
+    return finalize(J.natural_join(bureau_basic_stats_frame(spark, d),
+                                   filtered_frame(spark, d), "inner"))
+
+
+MODEL_FEATURES = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE",
+                  "CNT_CHILDREN", "CNT_FAM_MEMBERS", "DAYS_BIRTH", "DAYS_EMPLOYED",
+                  "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "OWN_CAR_AGE"]
+
+
+def _model_frame(spark, d):
+    app = R.application_wide(spark, d)
+    cols = [KEY, "label", "weight", "is_test", *MODEL_FEATURES]
+    aff = affordability_frame(spark, d).select(KEY, "INCOME_CREDIT_PERC", "ANNUITY_LENGTH")
+    return app.select(*cols).join(aff, KEY, "left")
+
+
+FEATS = MODEL_FEATURES + ["INCOME_CREDIT_PERC", "ANNUITY_LENGTH"]
+
+
+def gbt_cv_scores(spark, d):
+    """O-I6..I9, O-I8, O-A7: weighted 5-fold CV of boosted trees, AUC table."""
+    mf = _model_frame(spark, d)
+    tr = S.stratified_folds(mf.filter(~F.col("is_test")), KEY, "label", 5, 1234).cache()
+    table, _ = ML.cross_validate(tr, KEY, FEATS, "label", "weight", "fold", 5,
+                                 {"maxIter": 10, "maxDepth": 3})
+    return finalize(table)
+
+
+def gbt_submission(spark, d):
+    """O-I6, O-I9, O-A6, O-I15: final fit on all train rows, save/load, score test."""
+    import uuid
+
+    from featspark.session import ensure_checkpoint_dir
+    mf = _model_frame(spark, d)
+    tr, te = mf.filter(~F.col("is_test")), mf.filter(F.col("is_test"))
+    prep = ML.fit_features(tr, FEATS)
+    m = ML.fit_gbt(prep.transform(tr).select("label", "weight", "features"), "label", "weight",
+                   {"maxIter": 10, "maxDepth": 3})
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    ML.save_model(m, path)
+    m2 = ML.load_model(path)
+    preds = ML.predict_proba(m2, prep.transform(te), "TARGET", keep=[KEY])
+    template = te.select(KEY)
+    return finalize(J.merge_template(template, preds, KEY))
+
+
+def shift_weights(spark, d):
+    """O-I10, O-I3, O-G2, O-I11: covariate-shift weights from resampled fits."""
+    mf = _model_frame(spark, d)
+    tr, te = mf.filter(~F.col("is_test")), mf.filter(F.col("is_test"))
+    w = WT.shift_weights(tr, te, KEY, FEATS, n_iter=5, fraction=0.3,
+                         params={"maxIter": 10, "maxDepth": 3})
+    return finalize(w)
+
+
+def importance_and_pd(spark, d):
+    """O-I12, O-I13, O-F2: split-count ranking, top 3, partial dependence."""
+    mf = _model_frame(spark, d).filter(~F.col("is_test"))
+    fit, hold = S.holdout_split(mf, KEY, 0.33, 42)
+    prep = ML.fit_features(fit, FEATS)
+    m = ML.fit_gbt(prep.transform(fit).select("label", "weight", "features"), "label", "weight",
+                   {"maxIter": 10, "maxDepth": 3})
+    imp = XP.importance_table(spark, m, prep.vector_cols)
+    top = [r["feature"] for r in XP.top_k(imp.filter(F.col("feature").isin(FEATS)),
+                                          "splits", 3, "feature").collect()]
+    return finalize(XP.partial_dependence(m, prep, fit, top, 100))

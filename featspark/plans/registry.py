@@ -14,6 +14,10 @@ _NAMES = [
     "impute_mean_median_mode", "one_hot", "label_encode_query", "union_with_origin",
     "suffix_join", "duplicate_keys", "category_drift", "describe_compare", "skewness",
     "corr_matrix", "histogram", "group_size_histogram", "missing_counts",
+    "fold_assign", "weighted_auc", "density_odds", "pd_grid", "top_k", "column_agreement",
+    "submission_merge", "csv_round_trip", "schema_manifest", "holdout_split",
+    "bootstrap_samples", "preview", "natural_join",
+    "gbt_cv_scores", "gbt_submission", "shift_weights", "importance_and_pd",
 ]
 
 QUERIES = {n: getattr(Q, n) for n in _NAMES}
