@@ -625,3 +625,64 @@ def natural_join():
     fcols, fsql = _filtered_parts()
     inner = f"SELECT * FROM ({bsql}) a JOIN ({fsql}) b USING (client_id)"
     return fin(inner, [("client_id", "i")] + bcols + fcols)
+
+
+# ---- flagship: everything joined to the client spine ----------------------------
+
+def _app_feature_parts():
+    """(cols, sql) of the application features (affordability, pair ratios,
+    flag counts, score statistics) per client."""
+    aff = affordability_block()
+    pr = pair_ratios()
+    fl = row_null_and_flag_counts()
+    sc = row_score_stats()
+    aff_cols = ([("na", "i"), ("DAYS_EMPLOYED", "i")]
+                + [(n, "d") for n in ["DAYS_EMPLOYED_PERC", "INCOME_CREDIT_PERC",
+                                       "INCOME_PER_PERSON", "ANNUITY_INCOME_PERC",
+                                       "LOAN_INCOME_RATIO", "ANNUITY_LENGTH", "CHILDREN_RATIO",
+                                       "CREDIT_TO_GOODS_RATIO", "INC_PER_CHLD", "SOURCES_PROD",
+                                       "CAR_TO_BIRTH_RATIO", "CAR_TO_EMPLOY_RATIO",
+                                       "PHONE_TO_BIRTH_RATIO", "PHONE_TO_EMPLOY_RATIO"]])
+    pr_cols = [(f"{a}_{b}_ratio_application", "d") for a in APP_RATIO_COLS
+               for b in APP_RATIO_COLS if a != b]
+    fl_cols = [("Document_Count_application", "i"), ("Reg_mismatch_count_application", "i")]
+    sc_cols = [("Avg_EXT_SOURCE_application", "d"), ("SD_EXT_SOURCE_application", "d"),
+               ("EXT_SOURCE_missing_cnt_application", "i"), ("EXT_SOURCE_max_application", "d"),
+               ("EXT_SOURCE_min_application", "d"), ("EXT_SOURCE_range_application", "d")]
+    sel = ([f"a.{q(n)}" for n, _ in aff_cols] + [f"p.{q(n)}" for n, _ in pr_cols]
+           + [f"f.{q(n)}" for n, _ in fl_cols] + [f"s.{q(n)}" for n, _ in sc_cols])
+    sql = (f"SELECT a.client_id, {', '.join(sel)} FROM ({aff}) a JOIN ({pr}) p USING (client_id) "
+           f"JOIN ({fl}) f USING (client_id) JOIN ({sc}) s USING (client_id)")
+    return aff_cols + pr_cols + fl_cols + sc_cols, sql
+
+
+def client_feature_table():
+    parts = [_app_feature_parts()]
+    cc, csql = _cat_count_parts()
+    bcols = _basic_stats_cols(["o_totalprice", "days_credit"], "_bureau",
+                              {"o_totalprice": "d", "days_credit": "i"})
+    parts.append((cc, csql))
+    parts.append((bcols, _basic_stats_sql(BUREAU, "client_id", ["o_totalprice", "days_credit"],
+                                          "_bureau")))
+    parts.append(_filtered_parts())
+    parts.append(_overdue_parts())
+    parts.append((GAP_COLS, _gap_sql()))
+    parts.append(_status_parts())
+    parts.append(_time_since_parts())
+    tl_sql, tl_cols = _two_level()
+    sm = [n for n, _ in tl_cols if "_sum_mean" in n]
+    rsel = [f"CAST({q(a)} AS DOUBLE) / NULLIF(CAST({q(b)} AS DOUBLE), 0) AS {q(a + '_' + b)}"
+            for a in sm for b in sm if a != b]
+    parts.append((tl_cols[1:] + [(a + "_" + b, "d") for a in sm for b in sm if a != b],
+                  f"SELECT *, {', '.join(rsel)} FROM ({tl_sql}) t"))
+    mcols, msql = _mode_parts()
+    parts.append((mcols, msql))
+    parts.append(([("Ever_DPD_Count_POS_CASH", "i")], _ever_late_sql()))
+    sel, joins, cols = [], [], [("client_id", "i")]
+    for i, (pcols, psql) in enumerate(parts):
+        pc = [c for c in pcols if c[0] != "client_id"]
+        sel += [f"f{i}.{q(n)}" for n, _ in pc]
+        cols += pc
+        joins.append(f"LEFT JOIN ({psql}) f{i} ON c.c_custkey = f{i}.client_id")
+    inner = f"SELECT c.c_custkey AS client_id, {', '.join(sel)} FROM customer c {' '.join(joins)}"
+    return fin(inner, cols)

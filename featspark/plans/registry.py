@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from featspark.plans import features as FT
 from featspark.plans import oracle as O
 from featspark.plans import queries as Q
 
@@ -20,6 +21,7 @@ _NAMES = [
     "gbt_cv_scores", "gbt_submission", "shift_weights", "importance_and_pd",
 ]
 
-QUERIES = {n: getattr(Q, n) for n in _NAMES}
-ORACLE = {n: getattr(O, n) for n in _NAMES if hasattr(O, n)}
-FLAGSHIP = "client_basic_stats"
+QUERIES = {"client_feature_table": FT.client_feature_table}
+QUERIES.update({n: getattr(Q, n) for n in _NAMES})
+ORACLE = {n: getattr(O, n) for n in ["client_feature_table"] + _NAMES if hasattr(O, n)}
+FLAGSHIP = "client_feature_table"
