@@ -6,39 +6,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featspark.functions.expr import stable_round
+from featspark.functions.expr import stable_round_sql
 
 _INT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLT = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
-WIDE = 16  # above this many double columns, round them through one array
-
-
 def finalize(df: DataFrame, places: int = 4) -> DataFrame:
     """Presentation for comparison: doubles rounded, integers as bigint.
 
-    For wide frames the doubles are packed in one array and rounded by a
-    single ``transform`` lambda, instead of one large expression per column
-    (which makes code generation slow for hundreds of columns).
+    Built as SQL text (one ``selectExpr``): a few hundred columns cost one
+    JVM parse each instead of many Python API calls.
     """
-    dbl = [f.name for f in df.schema.fields if isinstance(f.dataType, _FLT)]
-    packed = len(dbl) > WIDE
-    if packed:
-        arr = F.transform(F.array(*[F.col(f"`{n}`").cast("double") for n in dbl]),
-                          lambda x: stable_round(x, places))
-        df = df.withColumn("__r", arr)
-    pos = {n: i for i, n in enumerate(dbl)}
-    cols = []
+    exprs = []
     for f in df.schema.fields:
-        if f.name == "__r":
-            continue
-        c = F.col(f"`{f.name}`")
+        n = "`" + f.name.replace("`", "``") + "`"
         if isinstance(f.dataType, _FLT):
-            cols.append((F.col("__r")[pos[f.name]] if packed
-                         else stable_round(c, places)).alias(f.name))
+            exprs.append(f"{stable_round_sql(n, places, coarse=True)} AS {n}")
         elif isinstance(f.dataType, _INT):
-            cols.append(c.cast("bigint").alias(f.name))
+            exprs.append(f"CAST({n} AS BIGINT) AS {n}")
         else:
-            cols.append(c.alias(f.name))
-    return df.select(*cols)
+            exprs.append(n)
+    return df.selectExpr(*exprs)

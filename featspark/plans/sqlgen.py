@@ -8,18 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from featspark.functions.expr import round_ladder
+
 
 def q(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
-def sround(x: str, places: int) -> str:
+def sround(x: str, places: int, coarse: bool = False) -> str:
     """SQL twin of ``featspark.functions.expr.stable_round``."""
-    parts, p = [], places
-    while p >= places - 8:
-        parts.append(f"WHEN abs({x}) < {10.0 ** (12 - p)!r} "
-                     f"THEN ROUND({x} + {x} * 1e-13, {p})")
-        p -= 2
+    y = f"({x} + {x} * 1e-13)"
+    parts = []
+    for bound, p in round_ladder(places, coarse):
+        f = repr(10.0 ** p)
+        parts.append(f"WHEN abs({x}) < {bound!r} THEN sign({y}) * floor(abs({y} * {f}) + 0.5) / {f}")
     return f"(CASE {' '.join(parts)} ELSE {x} END)"
 
 
@@ -28,7 +30,7 @@ def fin(inner: str, cols: Sequence[tuple[str, str]]) -> str:
     out = []
     for n, k in cols:
         if k == "d":
-            out.append(f"{sround(f'CAST({q(n)} AS DOUBLE)', 4)} AS {q(n)}")
+            out.append(f"{sround(f'CAST({q(n)} AS DOUBLE)', 4, coarse=True)} AS {q(n)}")
         elif k == "i":
             out.append(f"CAST({q(n)} AS BIGINT) AS {q(n)}")
         else:

@@ -19,6 +19,9 @@ _LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # PySpark 4 records the Python call site of every Column call for error
+    # messages (a JVM round trip each); wide plans build much faster without
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

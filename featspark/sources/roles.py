@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featspark.sources.io import read_parquet
+
 CREDIT_DAY0 = "2001-08-02"
 MONTH_DAY0 = "2002-01-01"
 DPD_GRACE = 90          # days past due = days late beyond this grace period
@@ -27,7 +29,7 @@ PAST_CREDIT_DAYS = -365  # a credit older than this is "past", else "current"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
 def application(spark: SparkSession, sf_dir: str) -> DataFrame:
