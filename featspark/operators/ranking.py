@@ -7,66 +7,102 @@ split table has one small array per group); per (group, range) totals are
 tiny and their exclusive prefix sums become offsets; the running sum inside
 each range is a window partitioned by (group, range), so the work spreads
 over as many tasks as there are ranges.  Meant for few groups (folds,
-labels, variables): the split and offset tables are broadcast after their
-row count is checked.
+labels, variables): split points and offsets (groups x ranges values, size
+checked) are inlined as literal maps; above the bound they are joined.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 200_000  # bound for the split / offset tables
+MAX_INLINE = 20_000  # (group, range) entries inlined as literals; above: broadcast join
 
 
-def _maybe_broadcast(df: DataFrame) -> DataFrame:
-    n = df.limit(MAX_BROADCAST_ROWS + 1).count()
-    return F.broadcast(df) if n <= MAX_BROADCAST_ROWS else df
+def _gkey(group_cols: Sequence[str]) -> Column:
+    """One string key for the group columns (for literal map lookups)."""
+    if not group_cols:
+        return F.lit("")
+    return F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000"))
+                                   for c in group_cols])
+
+
+def _pykey(row, group_cols) -> str:
+    return "\u0001".join("\u0000" if row[c] is None else _spark_str(row[c]) for c in group_cols)
+
+
+def _spark_str(v) -> str:
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    return str(v)
+
+
+def _lit_map(pairs):
+    from itertools import chain
+    return F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in pairs))
 
 
 def with_range_id(df: DataFrame, group_cols: Sequence[str], order_col: str,
                   n_ranges: int = 64, name: str = "_rid") -> DataFrame:
-    """Add the index of the per-group quantile range holding ``order_col``."""
+    """Add the index of the per-group quantile range holding ``order_col``.
+
+    Split points come from one ``percentile_approx`` aggregate per group
+    (a fixed-size sketch); with few groups they are inlined as literals.
+    """
     group_cols = list(group_cols)
     probs = [i / n_ranges for i in range(1, n_ranges)]
     x = F.col(order_col).cast("double")
-    if group_cols:
-        splits = df.groupBy(*group_cols).agg(
-            F.array_distinct(F.percentile_approx(x, probs, 10000)).alias("_splits"))
-        d = df.join(_maybe_broadcast(splits), on=group_cols, how="left")
+    sp = F.array_distinct(F.percentile_approx(x, probs, 10000)).alias("_splits")
+    splits = df.groupBy(*group_cols).agg(sp) if group_cols else df.agg(sp)
+    rows = splits.limit(MAX_INLINE // n_ranges + 1).collect()
+    if len(rows) <= MAX_INLINE // n_ranges:
+        arrs = {_pykey(r, group_cols): [float(v) for v in (r["_splits"] or [])] for r in rows}
+        lit = _lit_map([(k, F.array(*[F.lit(v) for v in a]) if a else F.array().cast("array<double>"))
+                        for k, a in arrs.items()])
+        d = df.withColumn("_splits", F.element_at(lit, _gkey(group_cols)))
     else:
-        splits = df.agg(F.array_distinct(F.percentile_approx(x, probs, 10000)).alias("_splits"))
-        arr = splits.first()["_splits"] or []
-        d = df.withColumn("_splits", F.array(*[F.lit(float(s)) for s in arr])
-                          if arr else F.array().cast("array<double>"))
-    rid = F.size(F.filter(F.col("_splits"), lambda s: s <= x))
-    return d.withColumn(name, F.coalesce(rid, F.lit(0))).drop("_splits")
+        d = df.join(F.broadcast(splits), on=group_cols, how="left")
+    rid = F.size(F.filter(F.coalesce(F.col("_splits"), F.array().cast("array<double>")),
+                          lambda s: s <= x))
+    return d.withColumn(name, rid).drop("_splits")
 
 
 def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                 value_col: str, out: str, inclusive: bool = False,
-                n_ranges: int = 64) -> DataFrame:
+                n_ranges: int = 64, checkpoint: bool = True) -> DataFrame:
     """Prefix sum of ``value_col`` in ``order_cols`` order within ``group_cols``.
 
     ``order_cols[0]`` must be numeric; later order columns break ties.
-    ``inclusive=False`` gives the sum over strictly earlier rows.
+    ``inclusive=False`` gives the sum over strictly earlier rows.  The input
+    is read by three jobs (splits, range totals, result), so its lineage is
+    cut first (``session.materialize``).
     """
+    from featspark.session import materialize
     group_cols = list(group_cols)
-    d = with_range_id(df, group_cols, order_cols[0], n_ranges)
+    src = materialize(df) if checkpoint else df
+    d = with_range_id(src, group_cols, order_cols[0], n_ranges)
     totals = d.groupBy(*group_cols, "_rid").agg(F.sum(value_col).alias("_t"))
-    wo = Window.partitionBy(*group_cols).orderBy("_rid").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = totals.select(*group_cols, "_rid",
-                            F.coalesce(F.sum("_t").over(wo), F.lit(0)).alias("_off"))
+    trows = totals.limit(MAX_INLINE + 1).collect()
+    if len(trows) <= MAX_INLINE:
+        acc, offs = {}, []
+        for r in sorted(trows, key=lambda r: (_pykey(r, group_cols), r["_rid"])):
+            k = _pykey(r, group_cols)
+            offs.append((f"{k}\u0002{r['_rid']}", acc.get(k, 0)))
+            acc[k] = acc.get(k, 0) + (r["_t"] or 0)
+        key = F.concat(_gkey(group_cols), F.lit("\u0002"), F.col("_rid").cast("string"))
+        d = d.withColumn("_off", F.coalesce(F.element_at(_lit_map(offs), key), F.lit(0)))
+    else:
+        wo = Window.partitionBy(*group_cols).orderBy("_rid").rowsBetween(
+            Window.unboundedPreceding, -1)
+        offsets = totals.select(*group_cols, "_rid",
+                                F.coalesce(F.sum("_t").over(wo), F.lit(0)).alias("_off"))
+        d = d.join(offsets, on=group_cols + ["_rid"], how="left")
     frame = (Window.unboundedPreceding, 0 if inclusive else -1)
     wi = Window.partitionBy(*group_cols, "_rid").orderBy(*order_cols).rowsBetween(*frame)
-    return (d.join(_maybe_broadcast(offsets), on=group_cols + ["_rid"], how="left")
-             .withColumn(out, F.col("_off") + F.coalesce(F.sum(value_col).over(wi), F.lit(0)))
+    return (d.withColumn(out, F.col("_off") + F.coalesce(F.sum(value_col).over(wi), F.lit(0)))
              .drop("_rid", "_off"))
-
-
 def row_number_in_groups(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                          out: str = "rn", n_ranges: int = 64) -> DataFrame:
     """1-based row number in ``order_cols`` order within ``group_cols``."""

@@ -404,12 +404,10 @@ def submission_merge(spark, d):
 def csv_round_trip(spark, d):
     """O-A1..A5: write CSV (no index) to the shared checkpoint folder, read it
     back with an explicit schema and the NA rule."""
-    import uuid
-
-    from featspark.session import ensure_checkpoint_dir
+    from featspark.session import shared_dir
     app = R.application(spark, d).select(KEY, "c_nationkey", "c_mktsegment", "c_acctbal",
                                          "score_1", "is_test")
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    path = shared_dir(spark, "csv")
     IO.write_csv(app, path)
     schema = ("client_id bigint, c_nationkey int, c_mktsegment string, c_acctbal double, "
               "score_1 double, is_test boolean")
@@ -473,15 +471,13 @@ def gbt_cv_scores(spark, d):
 
 def gbt_submission(spark, d):
     """O-I6, O-I9, O-A6, O-I15: final fit on all train rows, save/load, score test."""
-    import uuid
-
-    from featspark.session import ensure_checkpoint_dir
+    from featspark.session import shared_dir
     mf = _model_frame(spark, d)
     tr, te = mf.filter(~F.col("is_test")), mf.filter(F.col("is_test"))
     prep = ML.fit_features(tr, FEATS)
     m = ML.fit_gbt(prep.transform(tr).select("label", "weight", "features"), "label", "weight",
                    {"maxIter": 10, "maxDepth": 3})
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    path = shared_dir(spark, "model")
     ML.save_model(m, path)
     m2 = ML.load_model(path)
     preds = ML.predict_proba(m2, prep.transform(te), "TARGET", keep=[KEY])

@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -39,16 +39,49 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a scratch one only if unset.
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared checkpoint folder of the session, or None.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is read
-    from the session as is.  Only a session without one (tests, local runs)
-    gets a fresh scratch folder.
+    Read from the context or from ``spark.checkpoint.dir``; library code
+    never invents one (a machine-local folder is wrong on a cluster).
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    d = sc.getCheckpointDir()
+    if d:
+        return d
+    conf = sc.getConf().get("spark.checkpoint.dir", None)
+    if conf:
+        sc.setCheckpointDir(conf)
+        return sc.getCheckpointDir() or conf
+    return None
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Checkpoint folder for local sessions: the configured one, else a scratch
+    folder (tests and local runs only; see ``local_session``)."""
+    d = checkpoint_dir(spark)
     if not d:
-        d = tempfile.mkdtemp(prefix="featspark-ckpt-")
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="featspark-ckpt-"))
+        d = spark.sparkContext.getCheckpointDir()
+    return d
+
+
+def shared_dir(spark: SparkSession, what: str) -> str:
+    """A fresh sub-folder of the shared checkpoint folder for ``what``."""
+    import uuid
+    d = checkpoint_dir(spark)
+    if not d:
+        raise RuntimeError("no spark.checkpoint.dir configured: a shared folder is needed")
+    return f"{d.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a frame that several jobs will read.
+
+    Reliable ``checkpoint()`` into the shared checkpoint folder (survives
+    executor loss; never ``localCheckpoint``).  Without a configured folder
+    the frame is returned as is and simply recomputed.
+    """
+    if checkpoint_dir(df.sparkSession):
+        return df.checkpoint(eager=True)
+    return df
