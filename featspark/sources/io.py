@@ -46,9 +46,13 @@ def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = No
     """
     df = spark.read.parquet(path)
     want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        df = df.repartition(want)
-    return df
+    key = (path, want)
+    if key not in _SPLIT_CHECK:
+        _SPLIT_CHECK[key] = df.rdd.getNumPartitions() < want
+    return df.repartition(want) if _SPLIT_CHECK[key] else df
+
+
+_SPLIT_CHECK: dict[tuple[str, int], bool] = {}  # per path: is the scan under-split?
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

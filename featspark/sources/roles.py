@@ -106,17 +106,9 @@ ADDRESS_FLAGS = ["REG_REGION_NOT_LIVE_REGION", "REG_CITY_NOT_LIVE_CITY",
 EMPLOYED_SENTINEL = 365243
 
 
-def application_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per client with the reference's application column names.
-
-    Orders are aggregated per client first, then joined to the customer row
-    (aggregate before join).  Clients whose nation key is 0 carry the
-    ``DAYS_EMPLOYED`` sentinel 365243; document flags are NULL where the
-    matching score is NULL, so row sums see missing values.
-    """
-    app = application(spark, sf_dir)
-    b = bureau(spark, sf_dir)
-    per = b.groupBy("client_id").agg(
+def orders_per_client_exprs() -> list:
+    """Per-client order aggregates behind the application view (fixed mapping)."""
+    return [
         F.sum("o_totalprice").alias("AMT_CREDIT"),
         F.avg("o_totalprice").alias("AMT_ANNUITY"),
         F.max("o_totalprice").alias("AMT_GOODS_PRICE"),
@@ -127,8 +119,29 @@ def application_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("_urgent"),
         F.count_if(F.col("o_orderpriority") == "5-LOW").alias("_low"),
         F.count_if(F.col("o_orderstatus") == "F").alias("_done"),
-    )
-    j = app.join(per, "client_id", "left")
+    ]
+
+
+ORDERS_PER_CLIENT = ["AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "CNT_CHILDREN",
+                     "CNT_FAM_MEMBERS", "DAYS_BIRTH", "_last", "_urgent", "_low", "_done"]
+
+
+def application_wide(spark: SparkSession, sf_dir: str, per: DataFrame | None = None
+                     ) -> DataFrame:
+    """One row per client with the reference's application column names.
+
+    Orders are aggregated per client first, then joined to the customer row
+    (aggregate before join).  ``per`` may pass a per-client orders
+    aggregate that already holds ``orders_per_client_exprs()`` (so a caller
+    computing other per-client order features shares one aggregate).
+    Clients whose nation key is 0 carry the ``DAYS_EMPLOYED`` sentinel
+    365243; document flags are NULL where the matching score is NULL, so row
+    sums see missing values.
+    """
+    app = application(spark, sf_dir)
+    if per is None:
+        per = bureau(spark, sf_dir).groupBy("client_id").agg(*orders_per_client_exprs())
+    j = app.join(per.select("client_id", *ORDERS_PER_CLIENT), "client_id", "left")
     return j.select(
         "client_id", "label", "is_test", "weight", "c_mktsegment",
         F.col("c_nationkey").cast("string").alias("NATION"),
