@@ -91,6 +91,9 @@ def cross_validate(df: DataFrame, key: str, features: Sequence[str], label: str
     Feature preparation is fitted on the training rows of each fold only.
     Returns (table Fold_Name / Validation_AUC / Train_AUC, models).
     """
+    from featspark.session import materialize
+    keep = [key, label, fold_col] + ([weight] if weight else [])
+    df = materialize(df.select(*keep, *features))  # read by every fold's jobs
     models, scored = [], None
     for f in range(1, k + 1):
         tr = df.filter(F.col(fold_col) != f)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from featspark.operators.joins import rows_without_match, union_with_origin
 from featspark.operators.model import fit_features, fit_gbt, predict_proba
 from featspark.operators.split import subsample
+from featspark.session import materialize
 
 
 class MissingWeights(ValueError):
@@ -47,7 +48,8 @@ def shift_weights(train: DataFrame, test: DataFrame, key: str, features: Sequenc
     stacked = union_with_origin(train.select(key, *features), test.select(key, *features),
                                 "is_test")
     prep = fit_features(stacked, features)
-    x = prep.transform(stacked)
+    # every fit and scoring pass reads the assembled rows: cut their lineage
+    x = materialize(prep.transform(stacked).select(key, "is_test", "features"))
     x_train = x.filter(F.col("is_test") == 0)
     preds = []
     for i in range(n_iter):
