@@ -95,3 +95,18 @@ def test_shift_weights(spark):
                          params={"maxIter": 3, "maxDepth": 2})
     assert w.count() == tr.count()
     assert w.filter("Weights IS NULL OR Weights <= 0").count() == 0
+
+
+def test_loss_per_round_and_save_load(spark):
+    from featspark.session import shared_dir
+    df = _toy(spark)
+    prep = ML.fit_features(df, ["x1", "x2"])
+    x = prep.transform(df).select("TARGET", "Weights", "features")
+    m = ML.fit_gbt(x, "TARGET", "Weights", {"maxIter": 4, "maxDepth": 2})
+    loss = ML.loss_per_round(m, x)
+    assert len(loss) == 4 and loss[-1] <= loss[0]
+    path = shared_dir(spark, "model-test")
+    ML.save_model(m, path)
+    p1 = ML.predict_proba(m, x).collect()
+    p2 = ML.predict_proba(ML.load_model(path), x).collect()
+    assert [r[0] for r in p1] == [r[0] for r in p2]
