@@ -56,6 +56,41 @@ def fit_features(df: DataFrame, features: Sequence[str], stat: str = "median") -
     return FeaturePrep(features, fit_impute(df, features, stat), miss)
 
 
+def fit_features_per_fold(df: DataFrame, features: Sequence[str], fold_col: str, k: int
+                          ) -> dict[int, FeaturePrep]:
+    """``fit_features`` on the training rows of every fold, in one pass each.
+
+    Null counts come from one aggregate per fold; medians for every
+    (training fold, column) from ONE exact-quantile job over the rows
+    expanded to the k-1 folds they train (the same total work as k separate
+    fits, without k times the jobs).
+    """
+    features = list(features)
+    nulls = {r[fold_col]: r for r in df.groupBy(fold_col).agg(
+        *[F.count_if(F.col(c).isNull()).alias(c) for c in features]).collect()}
+    folds = F.array(*[F.lit(i) for i in range(1, k + 1)])
+    tf = F.explode(F.filter(folds, lambda f: f != F.col(fold_col))).alias("_tf")
+    rep = df.select(tf, *features)
+    # one "variable" per (training fold, column)
+    arr = F.array(*[F.struct(F.concat(F.col("_tf").cast("string"), F.lit(":" + c)).alias("v"),
+                             F.col(c).cast("double").alias("x")) for c in features])
+    long = rep.select(F.explode(arr).alias("kv")).select(
+        F.col("kv.v").alias("variable"), F.col("kv.x").alias("x"))
+    med = _fold_medians(long)
+    out = {}
+    for f in range(1, k + 1):
+        miss = [c for c in features
+                if sum((r[c] or 0) for fo, r in nulls.items() if fo != f) > 0]
+        out[f] = FeaturePrep(features, {c: med.get(f"{f}:{c}") for c in features}, miss)
+    return out
+
+
+def _fold_medians(long: DataFrame) -> dict[str, float]:
+    """Exact median of ``x`` per ``variable`` of a long frame."""
+    from featspark.operators.quantile import exact_quantiles_long
+    return {r["variable"]: r["value"] for r in exact_quantiles_long(long, [0.5]).collect()}
+
+
 def gbt(label: str = "label", weight: str | None = "weight", params: dict | None = None,
         features: str = "features") -> GBTClassifier:
     p = dict(DEFAULT_PARAMS, **(params or {}))
@@ -95,9 +130,10 @@ def cross_validate(df: DataFrame, key: str, features: Sequence[str], label: str
     keep = [key, label, fold_col] + ([weight] if weight else [])
     df = materialize(df.select(*keep, *features))  # read by every fold's jobs
     models, scored = [], None
+    preps = fit_features_per_fold(df, features, fold_col, k)
     for f in range(1, k + 1):
         tr = df.filter(F.col(fold_col) != f)
-        prep = fit_features(tr, features)
+        prep = preps[f]
         tr_x = prep.transform(tr).select(label, *([weight] if weight else []), "features")
         m = fit_gbt(tr_x, label, weight, params)
         models.append(m)

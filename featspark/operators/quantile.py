@@ -29,7 +29,18 @@ def _long_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """(variable, p, value) for each column and probability; NULLs skipped."""
-    cnt = _long_counts(df, cols)
+    return _quantiles_from_counts(_long_counts(df, cols), probs)
+
+
+def exact_quantiles_long(long: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """``exact_quantiles`` of a long frame (variable, x): one result per variable."""
+    lf = long.select("variable", F.col("x").cast("double").alias("value"))
+    lf = lf.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    return _quantiles_from_counts(
+        lf.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("cnt")), probs)
+
+
+def _quantiles_from_counts(cnt: DataFrame, probs: Sequence[float]) -> DataFrame:
     cum = running_sum(cnt, ["variable"], ["value"], "cnt", "_before")
     totals = cnt.groupBy("variable").agg(F.sum("cnt").alias("_n"))
     # target ranks (0-based) of the two order statistics around (n-1)p

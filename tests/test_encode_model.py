@@ -110,3 +110,14 @@ def test_loss_per_round_and_save_load(spark):
     p1 = ML.predict_proba(m, x).collect()
     p2 = ML.predict_proba(ML.load_model(path), x).collect()
     assert [r[0] for r in p1] == [r[0] for r in p2]
+
+
+def test_per_fold_feature_prep_matches_separate_fits(spark):
+    df = _toy(spark)
+    tr = stratified_folds(df, "SK_ID_CURR", "TARGET", 3)
+    preps = ML.fit_features_per_fold(tr, ["x1", "x2"], "fold", 3)
+    for f in (1, 2, 3):
+        one = ML.fit_features(tr.filter(F.col("fold") != f), ["x1", "x2"])
+        assert preps[f].indicators == one.indicators
+        for c in ["x1", "x2"]:
+            assert math.isclose(preps[f].fill[c], one.fill[c], rel_tol=1e-12)
