@@ -8,7 +8,7 @@ tiny and their exclusive prefix sums become offsets; the running sum inside
 each range is a window partitioned by (group, range), so the work spreads
 over as many tasks as there are ranges.  Meant for few groups (folds,
 labels, variables): split points and offsets (groups x ranges values, size
-checked) are inlined as literal maps; above the bound they are joined.
+checked) are collected and broadcast back; above the bound they are joined.
 """
 
 from __future__ import annotations
@@ -44,26 +44,40 @@ def _lit_map(pairs):
     return F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in pairs))
 
 
+def _small_frame(df: DataFrame, group_cols: Sequence[str], rows: list[tuple], extra: str):
+    """A DataFrame of collected (group..., extra...) rows with the group
+    columns' original types, to broadcast-join back (hash lookup per row)."""
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    ddl = ", ".join([f"`{c}` {types[c]}" for c in group_cols] + [extra])
+    return df.sparkSession.createDataFrame(rows, ddl)
+
+
 def with_range_id(df: DataFrame, group_cols: Sequence[str], order_col: str,
                   n_ranges: int = 64, name: str = "_rid") -> DataFrame:
     """Add the index of the per-group quantile range holding ``order_col``.
 
-    Split points come from one ``percentile_approx`` aggregate per group
-    (a fixed-size sketch); with few groups they are inlined as literals.
+    Split points come from one ``percentile_approx`` aggregate per group (a
+    fixed-size sketch).  The split table (one small array per group, count
+    checked) is collected and broadcast back: a hash lookup per row.
     """
     group_cols = list(group_cols)
     probs = [i / n_ranges for i in range(1, n_ranges)]
     x = F.col(order_col).cast("double")
     sp = F.array_distinct(F.percentile_approx(x, probs, 10000)).alias("_splits")
     splits = df.groupBy(*group_cols).agg(sp) if group_cols else df.agg(sp)
-    rows = splits.limit(MAX_INLINE // n_ranges + 1).collect()
-    if len(rows) <= MAX_INLINE // n_ranges:
-        arrs = {_pykey(r, group_cols): [float(v) for v in (r["_splits"] or [])] for r in rows}
-        lit = _lit_map([(k, F.array(*[F.lit(v) for v in a]) if a else F.array().cast("array<double>"))
-                        for k, a in arrs.items()])
-        d = df.withColumn("_splits", F.element_at(lit, _gkey(group_cols)))
+    limit = MAX_INLINE // n_ranges
+    rows = splits.limit(limit + 1).collect()
+    if not group_cols:
+        arr = [float(v) for v in (rows[0]["_splits"] or [])] if rows else []
+        d = df.withColumn("_splits", F.array(*[F.lit(v) for v in arr]) if arr
+                          else F.array().cast("array<double>"))
+    elif len(rows) <= limit:
+        small = _small_frame(df, group_cols, [tuple(r[c] for c in group_cols)
+                                              + ([float(v) for v in (r["_splits"] or [])],)
+                                              for r in rows], "_splits array<double>")
+        d = df.join(F.broadcast(small), on=group_cols, how="left")
     else:
-        d = df.join(F.broadcast(splits), on=group_cols, how="left")
+        d = df.join(splits, on=group_cols, how="left")
     rid = F.size(F.filter(F.coalesce(F.col("_splits"), F.array().cast("array<double>")),
                           lambda s: s <= x))
     return d.withColumn(name, rid).drop("_splits")
@@ -77,7 +91,9 @@ def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
     ``order_cols[0]`` must be numeric; later order columns break ties.
     ``inclusive=False`` gives the sum over strictly earlier rows.  The input
     is read by three jobs (splits, range totals, result), so its lineage is
-    cut first (``session.materialize``).
+    cut first (``session.materialize``).  The (group, range) offsets are
+    computed on the driver from the collected totals (count checked) and
+    broadcast back.
     """
     from featspark.session import materialize
     group_cols = list(group_cols)
@@ -86,13 +102,15 @@ def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
     totals = d.groupBy(*group_cols, "_rid").agg(F.sum(value_col).alias("_t"))
     trows = totals.limit(MAX_INLINE + 1).collect()
     if len(trows) <= MAX_INLINE:
+        vt = dict((f.name, f.dataType.simpleString()) for f in totals.schema.fields)["_t"]
+        conv = float if vt in ("double", "float") else int
         acc, offs = {}, []
         for r in sorted(trows, key=lambda r: (_pykey(r, group_cols), r["_rid"])):
             k = _pykey(r, group_cols)
-            offs.append((f"{k}\u0002{r['_rid']}", acc.get(k, 0)))
+            offs.append(tuple(r[c] for c in group_cols) + (r["_rid"], conv(acc.get(k, 0))))
             acc[k] = acc.get(k, 0) + (r["_t"] or 0)
-        key = F.concat(_gkey(group_cols), F.lit("\u0002"), F.col("_rid").cast("string"))
-        d = d.withColumn("_off", F.coalesce(F.element_at(_lit_map(offs), key), F.lit(0)))
+        small = _small_frame(d, group_cols, offs, f"_rid int, _off {vt}")
+        d = d.join(F.broadcast(small), on=group_cols + ["_rid"], how="left")
     else:
         wo = Window.partitionBy(*group_cols).orderBy("_rid").rowsBetween(
             Window.unboundedPreceding, -1)
@@ -101,8 +119,11 @@ def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
         d = d.join(offsets, on=group_cols + ["_rid"], how="left")
     frame = (Window.unboundedPreceding, 0 if inclusive else -1)
     wi = Window.partitionBy(*group_cols, "_rid").orderBy(*order_cols).rowsBetween(*frame)
-    return (d.withColumn(out, F.col("_off") + F.coalesce(F.sum(value_col).over(wi), F.lit(0)))
+    return (d.withColumn(out, F.coalesce(F.col("_off"), F.lit(0))
+                         + F.coalesce(F.sum(value_col).over(wi), F.lit(0)))
              .drop("_rid", "_off"))
+
+
 def row_number_in_groups(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                          out: str = "rn", n_ranges: int = 64) -> DataFrame:
     """1-based row number in ``order_cols`` order within ``group_cols``."""
