@@ -27,11 +27,11 @@ q AS (
          sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size ROWS UNBOUNDED PRECEDING)::BIGINT AS upto
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 c AS (
-  SELECT *, (k * source_size + upto)::DOUBLE / target AS at
+  SELECT *, (k * source_size + upto)::DOUBLE / target AS fin
   FROM q, (VALUES (0), (1), (2)) AS r(k) WHERE size > 0),
 o AS (
   SELECT doc_id, key, size, source,
-         sum(size) OVER (ORDER BY at, k, key, doc_id, size ROWS UNBOUNDED PRECEDING) AS used FROM c),
+         sum(size) OVER (ORDER BY fin, k, key, doc_id, size ROWS UNBOUNDED PRECEDING) AS used FROM c),
 n AS (
   SELECT doc_id, key, size, source, count(*) AS copies FROM o
   WHERE used <= (SELECT sum(size) FROM d) GROUP BY ALL)
@@ -47,9 +47,9 @@ WITH d AS (
   FROM documents),
 p AS (
   SELECT *, sum(size) OVER (ORDER BY k1, k2, doc_id ROWS UNBOUNDED PRECEDING) - size AS before,
-         sum(size) OVER () AS total, row_number() OVER (ORDER BY k1, k2, doc_id) AS at FROM d),
+         sum(size) OVER () AS total, row_number() OVER (ORDER BY k1, k2, doc_id) AS pos FROM d),
 s AS (SELECT *, (before * 16 // total)::INT AS shard FROM p)
-SELECT doc_id, size, shard, at - min(at) OVER (PARTITION BY shard) AS slot FROM s"""
+SELECT doc_id, size, shard, pos - min(pos) OVER (PARTITION BY shard) AS slot FROM s"""
 
 OP7 = f"""
 WITH d AS (SELECT doc_id, sha256({_LOWER}) AS text_sha256 FROM documents)

@@ -5,15 +5,17 @@ Voters look at one text each and say toxic, clean or nothing:
 * lexicon voters: a short fixed list of English insults, and word beginnings
   found in labelled training rows (so other languages have a lexicon as well);
 * pattern voters: several different insults; an insult after "you"; no word of
-  any lexicon; the training label itself where there is one.
+  any lexicon;
+* the training label, a voter with a fixed accuracy (``LABEL_ACCURACY``).
 
 A generative label model is fitted to the votes by expectation-maximisation:
 each voter's accuracy (how often it says toxic, clean or nothing given the
 truth), and from the posteriors the correlations among voters given the truth.
 A voter that repeats others counts for less (its log-odds are divided by one
 plus its correlations with the others), so many voices with one opinion do not
-outvote the rest.  A linear classifier over hashed words and word beginnings is
-then trained on the posterior labels, and it scores every whole text.
+outvote the rest.  A linear classifier over hashed words, word beginnings and
+the number of lexicon entries present is then trained on the posterior labels,
+and it scores every whole text.
 
 Labels are read only for rows whose crc32(doc_id) mod 5 is not 0, at most
 ``bound`` of them (a documented parameter); doc_id, lang, source and labels are
@@ -27,8 +29,10 @@ an empty result.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,11 +44,12 @@ from featspark.llm.common import (Hasher, held_out, labelled_sample, lower_ascii
                                   stack, text_of)
 
 BITS = 18
-BOUND = 20_000
+BOUND = 4_000
 INSULTS = ("clown disgusting idiot imbecile jerk loser moron pathetic scum stupid trash worthless").split()
 _TOKEN = re.compile(r"[^\W\d_]+")
 _ADDRESSED = re.compile(r"\byou\W+(?:\w+\W+){0,3}(?:" + "|".join(INSULTS) + r")\b", re.I)
 TOXIC, CLEAN, SILENT = 1, 0, -1
+LABEL_ACCURACY = 0.98
 
 
 def tokens(text: str | None) -> set[str]:
@@ -63,15 +68,43 @@ def beginnings(words: set[str]) -> set[str]:
     return out
 
 
-def mine_lexicon(feature_sets: list[set[str]], labels: list[int], most: int = 48,
-                 precision: float = 0.9) -> list[str]:
-    """Word beginnings that stand almost only in toxic training rows, the widest
-    spread first; the most general of several with the same rows."""
+def mine_lexicon(feature_sets: list[set[str]], labels: list[int], most: int = 64,
+                 precision: float = 0.9, least: int = 4) -> list[str]:
+    """Word beginnings that stand almost only in toxic training rows: greedily the
+    one that covers most toxic rows no earlier one does (the longer of equals)."""
     toxic, clean = Counter(), Counter()
     for f, y in zip(feature_sets, labels):
         (toxic if y else clean).update(f)
-    good = [(n, w) for w, n in toxic.items() if n >= 4 and n >= precision * (n + clean[w])]
-    return [w for _, w in sorted(good, key=lambda x: (-x[0], len(x[1]), x[1]))[:most]]
+    rows = {w: set() for w, n in toxic.items() if n >= least and n >= precision * (n + clean[w])}
+    for i, (f, y) in enumerate(zip(feature_sets, labels)):
+        if y:
+            for w in f & rows.keys():
+                rows[w].add(i)
+    holders: dict[int, list[str]] = {}
+    for w, at in rows.items():
+        for i in at:
+            holders.setdefault(i, []).append(w)
+    gain, out = {w: len(at) for w, at in rows.items()}, []
+    while gain and len(out) < most:
+        best = max(gain.values())
+        if best < least:
+            break
+        w = max((w for w, g in gain.items() if g == best), key=lambda w: (len(rows[w]), len(w), w))
+        out.append(w)
+        for i in rows[w]:  # rows that count no more for any other
+            for x in holders.pop(i, ()):
+                gain[x] -= 1
+    return out
+
+
+def features_of(words: set[str], lexicon: set[str], slot: Hasher) -> tuple[np.ndarray, np.ndarray]:
+    """Slots and values: words and beginnings share a unit of length, whether one
+    or two lexicon entries are present counts one each."""
+    f = sorted(beginnings(words))
+    hits = sum(w in lexicon for w in f)
+    slots = [slot(x) for x in [*f, "+1", "+2"]]
+    values = [len(f) ** -0.5] * len(f) + [float(hits > 0), float(hits > 1)]
+    return np.array(slots, np.int32), np.array(values, np.float32)
 
 
 def votes_of(features: set[str], lexicon: list[str], label: int | None, addressed: bool) -> list[int]:
@@ -98,7 +131,8 @@ class LabelModel:
 
 
 def fit_label_model(votes: np.ndarray, rounds: int = 25) -> LabelModel:
-    """EM over (rows x voters) votes in {-1, 0, 1}; the last voter starts it."""
+    """EM over (rows x voters) votes in {-1, 0, 1}; the last voter, the label,
+    starts it and keeps its fixed accuracy."""
     n, m = votes.shape
     onehot = np.stack([votes == k for k in (SILENT, CLEAN, TOXIC)], axis=2).astype(float)
     says_toxic = (votes == TOXIC).sum(1) - 2.0 * (votes == CLEAN).sum(1)
@@ -109,8 +143,11 @@ def fit_label_model(votes: np.ndarray, rounds: int = 25) -> LabelModel:
         prior = float(np.clip(q.mean(), 1e-3, 1 - 1e-3))
         for t, weight in ((0, 1 - q), (1, q)):
             rates[:, t] = (np.einsum("nmk,n->mk", onehot, weight) + 0.1) / (weight.sum() + 0.3)
+        rates[-1] = [[0, LABEL_ACCURACY, 1 - LABEL_ACCURACY], [0, 1 - LABEL_ACCURACY, LABEL_ACCURACY]]
+        rates = np.maximum(rates, 1e-6)
         corr = _correlations(votes, q)
         discount = 1.0 / (1.0 + np.clip(corr, 0, 1).sum(1) - np.clip(np.diag(corr), 0, 1))
+        discount[-1] = 1.0
         odds = np.log(rates[:, 1] / rates[:, 0])
         score = np.einsum("nmk,mk,m->n", onehot, odds, discount) + np.log(prior / (1 - prior))
         q = sigmoid(score)
@@ -132,26 +169,26 @@ def _correlations(votes: np.ndarray, q: np.ndarray) -> np.ndarray:
     return total
 
 
-def fit_linear(rows: list[list[int]], target: np.ndarray, bits: int = BITS, rounds: int = 200,
-               rate: float = 0.05, l2: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels; features are present or absent."""
+def fit_linear(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, bits: int = BITS,
+               rounds: int = 200, rate: float = 0.05, l2: float = 1e-3) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels over sparse rows (slots, values)."""
     size, n = 1 << bits, len(rows)
     w, b = np.zeros(size), 0.0
     if not n:
         return w, b
-    at, slot, _ = stack([(r, [1.0] * len(r)) for r in rows])
+    at, slot, val = stack(rows)
     # slots of a single row cannot be told from noise
     common = np.bincount(slot, minlength=size) >= 3
     keep = common[slot]
-    at, slot = at[keep], slot[keep]
+    at, slot, val = at[keep], slot[keep], val[keep]
     p = float(np.clip(target.mean(), 1e-3, 1 - 1e-3))
     b = float(np.log(p / (1 - p)))
     used, slot = np.unique(slot, return_inverse=True)
     v, m1, m2, mb, vb = np.zeros(len(used)), np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
     weight = np.where(target > 0.5, 0.5 / p, 0.5 / (1 - p)) / n  # both classes count alike
     for step in range(1, rounds + 1):
-        e = (sigmoid(np.bincount(at, v[slot], n) + b) - target) * weight
-        g, gb = np.bincount(slot, e[at], len(used)) + l2 * v, e.sum()
+        e = (sigmoid(np.bincount(at, val * v[slot], n) + b) - target) * weight
+        g, gb = np.bincount(slot, val * e[at], len(used)) + l2 * v, e.sum()
         m1 += 0.1 * (g - m1)
         m2 += 0.001 * (g * g - m2)
         mb += 0.1 * (gb - mb)
@@ -185,47 +222,57 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = BOUND, bits: int = BI
     y = got["toxic"]
     if not y:
         return ToxicityModel(np.zeros(1 << bits), -2.0, [], None)
-    sets = [beginnings(set(w.split("\n")) - {""}) for w in got["words"]]
+    words = [set(w.split("\n")) - {""} for w in got["words"]]
+    sets = [beginnings(w) for w in words]
     lexicon = mine_lexicon(sets, y)
     votes = np.array([votes_of(f, lexicon, t, you) for f, t, you in zip(sets, y, got["you"])])
     model = fit_label_model(votes)
     slot = Hasher(bits)
-    w, b = fit_linear([[slot(f) for f in sorted(s)] for s in sets], model.posterior, bits)
+    w, b = fit_linear([features_of(x, {*INSULTS, *lexicon}, slot) for x in words], model.posterior, bits)
     return ToxicityModel(w, b, lexicon, model)
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel, bits: int = BITS, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score in 0..1, predicted."""
-    w, bias = model.weights.astype(np.float32), model.bias
-
-    score = text_scorer(w, bias, bits)
+    score = text_scorer(model, bits)
     d = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_of(text_col).alias("text"))
     out = map_rows(d, lambda b: {"doc_id": b["doc_id"], "score": score(b["text"])}, "doc_id long, score double")
     return out.select("doc_id", held_out().alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def text_scorer(w: np.ndarray, bias: float, bits: int):
-    """Texts -> scores; a word's weight (with its beginnings) is remembered."""
+def text_scorer(model: ToxicityModel, bits: int) -> Callable[[list[str]], list[float]]:
+    """Texts -> scores; what a word brings (with its beginnings) is remembered."""
+    w, bias, lexicon = model.weights, model.bias, {*INSULTS, *model.lexicon}
     used = {int(i): float(w[i]) for i in np.flatnonzero(w)}
     slot, parts = Hasher(bits), {}
+    one, two = (used.get(slot(x), 0.0) for x in ("+1", "+2"))
 
-    def slots_of(word: str) -> list[int]:
+    def brings(word: str) -> tuple:
         got = parts.get(word)
         if got is None:
             if len(parts) > 500_000:
                 parts.clear()
-            got = parts[word] = [i for i in map(slot, beginnings({word})) if i in used]
+            f = beginnings({word})
+            weighed = [(x, used[i]) for x in f if (i := slot(x)) in used]
+            got = parts[word] = (sorted(f - {word}), weighed, [x for x in f if x in lexicon])
         return got
 
     def score(texts: list[str]) -> list[float]:
         out = []
         for t in texts:
-            seen: set[int] = set()
-            for word in tokens(t):
-                seen.update(slots_of(word))
-            out.append(float(sigmoid(bias + sum(used[i] for i in seen))))
+            words = tokens(t)
+            found, seen, hits = set(words), {}, set()
+            for word in words:
+                begin, weighed, entries = brings(word)
+                found.update(begin)
+                seen.update(weighed)
+                hits.update(entries)
+            z = bias + one * (len(hits) > 0) + two * (len(hits) > 1)
+            if found:
+                z += math.fsum(seen.values()) / len(found) ** 0.5
+            out.append(float(sigmoid(z)))
         return out
 
     return score
@@ -233,6 +280,6 @@ def text_scorer(w: np.ndarray, bias: float, bits: int):
 
 def keep_clean(docs: DataFrame, model: ToxicityModel, bits: int = BITS) -> DataFrame:
     """Rows of ``docs`` scored under 0.5, columns unchanged, in one pass."""
-    score = text_scorer(model.weights.astype(np.float32), model.bias, bits)
+    score = text_scorer(model, bits)
     scored = F.pandas_udf(lambda s: pd.Series(score(s.tolist())), "double")
     return docs.filter(scored(text_of()) < 0.5)
