@@ -98,12 +98,12 @@ def mine_lexicon(feature_sets: list[set[str]], labels: list[int], most: int = 64
 
 
 def features_of(words: set[str], lexicon: set[str], slot: Hasher) -> tuple[np.ndarray, np.ndarray]:
-    """Slots and values: words and beginnings share a unit of length, whether one
-    or two lexicon entries are present counts one each."""
+    """Slots and values: a word or beginning counts one by the root of the number
+    of words, whether one or two lexicon entries are present counts one each."""
     f = sorted(beginnings(words))
     hits = sum(w in lexicon for w in f)
     slots = [slot(x) for x in [*f, "+1", "+2"]]
-    values = [len(f) ** -0.5] * len(f) + [float(hits > 0), float(hits > 1)]
+    values = [max(1, len(words)) ** -0.5] * len(f) + [float(hits > 0), float(hits > 1)]
     return np.array(slots, np.int32), np.array(values, np.float32)
 
 
@@ -249,29 +249,32 @@ def text_scorer(model: ToxicityModel, bits: int) -> Callable[[list[str]], list[f
     slot, parts = Hasher(bits), {}
     one, two = (used.get(slot(x), 0.0) for x in ("+1", "+2"))
 
+    def weigh(x: str) -> float:
+        return used.get(slot(x), 0.0)
+
     def brings(word: str) -> tuple:
-        got = parts.get(word)
-        if got is None:
-            if len(parts) > 500_000:
-                parts.clear()
-            f = beginnings({word})
-            weighed = [(x, used[i]) for x in f if (i := slot(x)) in used]
-            got = parts[word] = (sorted(f - {word}), weighed, [x for x in f if x in lexicon])
+        """(own weight, weighted beginnings, lexicon entries) of a word."""
+        if len(parts) > 500_000:
+            parts.clear()
+        f = beginnings({word})
+        begin = tuple((x, weigh(x)) for x in sorted(f - {word}) if weigh(x))
+        got = parts[word] = (weigh(word), begin, [x for x in f if x in lexicon])
         return got
 
     def score(texts: list[str]) -> list[float]:
         out = []
         for t in texts:
             words = tokens(t)
-            found, seen, hits = set(words), {}, set()
+            own, begin, hits = [], set(), set()
             for word in words:
-                begin, weighed, entries = brings(word)
-                found.update(begin)
-                seen.update(weighed)
-                hits.update(entries)
+                w, b, entries = parts.get(word) or brings(word)
+                own.append(w)
+                if b:
+                    begin.update(b)
+                if entries:
+                    hits.update(entries)
             z = bias + one * (len(hits) > 0) + two * (len(hits) > 1)
-            if found:
-                z += math.fsum(seen.values()) / len(found) ** 0.5
+            z += (math.fsum(own) + math.fsum(w for _, w in begin)) / max(1, len(words)) ** 0.5
             out.append(float(sigmoid(z)))
         return out
 
