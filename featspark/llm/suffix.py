@@ -56,8 +56,12 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse mod 2^64, at least ``n`` of each."""
     size = 1 << max(12, (n - 1).bit_length())
     if size not in _powers:
-        _powers[size] = tuple(np.cumprod(np.concatenate([[1], np.full(size - 1, b, np.uint64)]), dtype=np.uint64)
-                              for b in (np.uint64(_BASE), np.uint64(pow(_BASE, -1, 2**64))))
+        tables = []
+        for base in (_BASE, pow(_BASE, -1, 2**64)):
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            tables.append(np.cumprod(steps))
+        _powers[size] = tuple(tables)
     return _powers[size]
 
 
