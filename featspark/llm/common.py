@@ -148,9 +148,9 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 def stack(rows: list[tuple[list[int], list[float]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sparse rows -> (row number, slot, value) arrays."""
     n = np.fromiter((len(i) for i, _ in rows), np.int64, len(rows))
-    at = np.repeat(np.arange(len(rows)), n)
-    slot = np.concatenate([np.asarray(i, np.int64) for i, _ in rows] or [np.zeros(0, np.int64)])
-    val = np.concatenate([np.asarray(v, float) for _, v in rows] or [np.zeros(0)])
+    at = np.repeat(np.arange(len(rows), dtype=np.int32), n)
+    slot = np.concatenate([np.asarray(i, np.int32) for i, _ in rows] or [np.zeros(0, np.int32)])
+    val = np.concatenate([np.asarray(v, np.float32) for _, v in rows] or [np.zeros(0, np.float32)])
     return at, slot, val
 
 

@@ -68,53 +68,52 @@ def beginnings(words: set[str]) -> set[str]:
     return out
 
 
-def mine_lexicon(feature_sets: list[set[str]], labels: list[int], most: int = 64,
+def mine_lexicon(rows: list[np.ndarray], labels: list[int], names: list[str], most: int = 64,
                  precision: float = 0.9, least: int = 4) -> list[str]:
     """Word beginnings that stand almost only in toxic training rows: greedily the
-    one that covers most toxic rows no earlier one does (the longer of equals)."""
-    toxic, clean = Counter(), Counter()
-    for f, y in zip(feature_sets, labels):
-        (toxic if y else clean).update(f)
-    rows = {w: set() for w, n in toxic.items() if n >= least and n >= precision * (n + clean[w])}
-    for i, (f, y) in enumerate(zip(feature_sets, labels)):
-        if y:
-            for w in f & rows.keys():
-                rows[w].add(i)
-    holders: dict[int, list[str]] = {}
-    for w, at in rows.items():
-        for i in at:
-            holders.setdefault(i, []).append(w)
-    gain, out = {w: len(at) for w, at in rows.items()}, []
+    one that covers most toxic rows no earlier one does (the longer of equals).
+
+    ``rows`` hold positions in ``names``.
+    """
+    def rows_with(y: int) -> np.ndarray:
+        held = [r for r, label in zip(rows, labels) if label == y]
+        return np.bincount(np.concatenate(held), minlength=len(names)) if held else np.zeros(len(names), np.int64)
+
+    toxic, clean = rows_with(TOXIC), rows_with(CLEAN)
+    good = (toxic >= least) & (toxic >= precision * (toxic + clean))
+    holders = {i: r[good[r]].tolist() for i, (r, y) in enumerate(zip(rows, labels)) if y}
+    at: dict[int, list[int]] = {}
+    for i, found in holders.items():
+        for w in found:
+            at.setdefault(w, []).append(i)
+    gain, out = {w: len(x) for w, x in at.items()}, []
     while gain and len(out) < most:
         best = max(gain.values())
         if best < least:
             break
-        w = max((w for w, g in gain.items() if g == best), key=lambda w: (len(rows[w]), len(w), w))
-        out.append(w)
-        for i in rows[w]:  # rows that count no more for any other
+        w = max((w for w, g in gain.items() if g == best), key=lambda w: (len(at[w]), len(names[w]), names[w]))
+        out.append(names[w])
+        for i in at[w]:  # rows that count no more for any other
             for x in holders.pop(i, ()):
                 gain[x] -= 1
     return out
 
 
-def features_of(words: set[str], lexicon: set[str], slot: Hasher) -> tuple[np.ndarray, np.ndarray]:
-    """Slots and values: a word or beginning counts one by the root of the number
-    of words, whether one or two lexicon entries are present counts one each."""
-    f = sorted(beginnings(words))
-    hits = sum(w in lexicon for w in f)
-    slots = [slot(x) for x in [*f, "+1", "+2"]]
-    values = [max(1, len(words)) ** -0.5] * len(f) + [float(hits > 0), float(hits > 1)]
-    return np.array(slots, np.int32), np.array(values, np.float32)
+def features_of(slots: np.ndarray, n_words: int, hits: int, slot: Hasher) -> tuple[np.ndarray, np.ndarray]:
+    """Slots and values of a text: a word or beginning counts one by the root of
+    the number of words, whether one or two lexicon entries are present one each."""
+    values = np.full(len(slots) + 2, max(1, n_words) ** -0.5, np.float32)
+    values[-2:] = hits > 0, hits > 1
+    return np.concatenate([slots, np.array([slot("+1"), slot("+2")], np.int32)]), values
 
 
-def votes_of(features: set[str], lexicon: list[str], label: int | None, addressed: bool) -> list[int]:
-    """One vote per voter: fixed insults, mined beginnings, then the patterns.
+def votes_of(hits: list[bool], label: int | None, addressed: bool) -> list[int]:
+    """One vote per voter: fixed insults, mined beginnings (``hits``, in this
+    order), the patterns, the label.
 
     ``addressed``: the text says "you" shortly before an insult.
     """
-    hits = [w in features for w in [*INSULTS, *lexicon]]
-    insults = sum(hits[:len(INSULTS)])
-    patterns = [TOXIC if insults >= 2 else SILENT,
+    patterns = [TOXIC if sum(hits[:len(INSULTS)]) >= 2 else SILENT,
                 TOXIC if sum(hits) >= 2 else SILENT,
                 TOXIC if addressed else SILENT,
                 CLEAN if not any(hits) else SILENT,
@@ -218,17 +217,27 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = BOUND, bits: int = BI
                 "words": ["\n".join(w) for w in words], "you": you}
 
     got = map_rows(sample, known, "_id long, toxic long, words string, you boolean").toArrow()
-    got = got.sort_by([("_id", "ascending"), ("words", "ascending")]).to_pydict()
-    y = got["toxic"]
+    got = got.sort_by([("_id", "ascending"), ("words", "ascending")])
+    y = got["toxic"].to_pylist()
     if not y:
         return ToxicityModel(np.zeros(1 << bits), -2.0, [], None)
-    words = [set(w.split("\n")) - {""} for w in got["words"]]
-    sets = [beginnings(w) for w in words]
-    lexicon = mine_lexicon(sets, y)
-    votes = np.array([votes_of(f, lexicon, t, you) for f, t, you in zip(sets, y, got["you"])])
+    number: dict[str, int] = {}  # every feature is kept once
+    rows, n_words = [], []
+    for text in got["words"]:
+        words = set(text.as_py().split("\n")) - {""}
+        n_words.append(len(words))
+        rows.append(np.array([number.setdefault(f, len(number)) for f in sorted(beginnings(words))], np.int32))
+    names = list(number)
+    lexicon = mine_lexicon(rows, y, names)
+    voters = [*INSULTS, *lexicon]
+    known_as = np.array([number.get(w, -1) for w in voters])
+    hits = [np.isin(known_as, r) for r in rows]
+    votes = np.array([votes_of(h.tolist(), t, you) for h, t, you in zip(hits, y, got["you"].to_pylist())])
     model = fit_label_model(votes)
     slot = Hasher(bits)
-    w, b = fit_linear([features_of(x, {*INSULTS, *lexicon}, slot) for x in words], model.posterior, bits)
+    slots = np.array([slot(f) for f in names], np.int32)
+    w, b = fit_linear([features_of(slots[r], n, len({voters[i] for i in np.flatnonzero(h)}), slot)
+                       for r, n, h in zip(rows, n_words, hits)], model.posterior, bits)
     return ToxicityModel(w, b, lexicon, model)
 
 
