@@ -330,6 +330,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, gram: int = GRAM, group_l
     spans = repeated_spans(texts, scratch, length, gram, group_limit)
     lists = spans.distinct().groupBy("tid").agg(F.collect_list(F.struct("s", "e")).alias("l"))
     lists = scratch.write("spans", lists)
+    scratch.drop("anchors", "kinds", "mixed")
 
     def cut(b: dict) -> dict:
         out = {k: [] for k in ("n_removed", "n_spans", "kept_sha256", "s", "e", "kept")}
