@@ -129,7 +129,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, columns: list[str], boun
 class Hasher:
     """Feature string -> slot of a weight vector, remembered up to a bound."""
 
-    def __init__(self, bits: int, remember: int = 500_000):
+    def __init__(self, bits: int, remember: int = 200_000):
         self.mask, self.remember, self.seen = (1 << bits) - 1, remember, {}
 
     def __call__(self, s: str) -> int:

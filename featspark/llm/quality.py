@@ -72,7 +72,7 @@ class TextFeatures:
         for w, c in words.items():
             s = self.shapes.get(w)
             if s is None:
-                if len(self.shapes) > 500_000:
+                if len(self.shapes) > 100_000:
                     self.shapes.clear()
                 s = self.shapes[w] = (self.slot("\x01" + lower_ascii(w)), self.slot(_shape(w)))
             acc[s[0]] = acc.get(s[0], 0) + c

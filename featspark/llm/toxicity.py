@@ -263,7 +263,7 @@ def text_scorer(model: ToxicityModel, bits: int) -> Callable[[list[str]], list[f
 
     def brings(word: str) -> tuple:
         """(own weight, weighted beginnings, lexicon entries) of a word."""
-        if len(parts) > 500_000:
+        if len(parts) > 100_000:
             parts.clear()
         f = beginnings({word})
         begin = tuple((x, weigh(x)) for x in sorted(f - {word}) if weigh(x))
