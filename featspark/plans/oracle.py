@@ -113,6 +113,7 @@ def client_time_since_status():
     return on_spine(sql, cols)
 
 
+# fixed values: limits of the quarters before the application
 BUCKETS = [("1Q", "days_credit >= -90"),
            ("2Q", "days_credit < -90 AND days_credit >= -180"),
            ("3Q", "days_credit < -180 AND days_credit >= -270"),
@@ -497,15 +498,16 @@ def missing_counts():
 
 # ---- splits, metrics ----------------------------------------------------------
 
-MOD, MULT = 2147483647, 1103515245
+RANGE = 2 ** 32
 
 
-def hsql(key: str, seed: str) -> str:
-    return f"((({key} % {MOD}) * {MULT} + ({seed})) % {MOD})"
+def hsql(purpose: str, key: str, seed: str) -> str:
+    """Number in [0, 2^32) from the md5 of purpose, key and seeds."""
+    return f"('0x' || substr(md5('{purpose}:' || {key} || ':' || {seed}), 1, 8))::BIGINT"
 
 
 def _folds_sql(src: str) -> str:
-    return (f"SELECT *, ((ROW_NUMBER() OVER (PARTITION BY label ORDER BY {hsql('client_id', '1234')}, "
+    return (f"SELECT *, ((ROW_NUMBER() OVER (PARTITION BY label ORDER BY {hsql('fold', 'client_id', '1234')}, "
             f"client_id) - 1) % 5) + 1 AS fold FROM ({src}) s")
 
 
@@ -602,14 +604,17 @@ def csv_round_trip():
 
 
 def holdout_split():
-    inner = (f"SELECT client_id, CASE WHEN CAST({hsql('client_id', '42')} AS DOUBLE) / {MOD}.0 < 0.33 "
+    inner = (f"SELECT client_id, CASE WHEN CAST({hsql('holdout', 'client_id', '42')} AS DOUBLE) / {RANGE}.0 < 0.33 "
              f"THEN 1 ELSE 0 END AS holdout FROM ({APP_WIDE}) a WHERE NOT is_test")
     return fin(inner, [("client_id", "i"), ("holdout", "i")])
 
 
+_RESAMPLE = "'7:' || r.i"
+
+
 def bootstrap_samples():
     inner = (f"SELECT r.i AS iteration, client_id FROM ({APP}) a, range(15) r(i) "
-             f"WHERE CAST({hsql('client_id', '7000 + r.i')} AS DOUBLE) / {MOD}.0 < 0.3")
+             f"WHERE CAST({hsql('resample', 'client_id', _RESAMPLE)} AS DOUBLE) / {RANGE}.0 < 0.3")
     return fin(inner, [("iteration", "i"), ("client_id", "i")])
 
 

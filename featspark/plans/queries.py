@@ -36,7 +36,7 @@ def installments_coded(spark: SparkSession, d: str) -> DataFrame:
     """Instalments with derived columns and strings label-encoded (O-B8, O-I5)."""
     inst = R.installments(spark, d).withColumn(
         "payment_diff", F.col("amt_due") - F.col("amt_paid"))
-    return label_encode(inst, fit_label_codes(inst, ["status"]))
+    return label_encode(inst, fit_label_codes(inst, ["status"]), ["status"])
 
 
 # ---- per-client statistics -------------------------------------------------
@@ -215,12 +215,8 @@ def impute_mean_median_mode(spark, d):
     train, test = app.filter(~F.col("is_test")), app.filter(F.col("is_test"))
     cand = PR.numeric_columns(app, exclude=[KEY, "label", "weight"])
     miss = PR.missing_columns(train, cand)
-    frames = [I.impute(test, train, miss, st, f"_tr{st}", keep=[KEY])
-              for st in ("mean", "median", "mode")]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.join(f, KEY)
-    return finalize(out)
+    return finalize(I.impute_variants(test, train, miss, {
+        st: f"_tr{st}" for st in ("mean", "median", "mode")}, keep=[KEY]))
 
 
 def one_hot_frame(spark, d):
@@ -238,7 +234,7 @@ def one_hot(spark, d):
 def label_encode_query(spark, d):
     """O-I5: alphabetical integer codes from 1 for string columns."""
     b = R.bureau(spark, d).select(KEY, "credit_id", *BUREAU_CAT)
-    return finalize(E.label_encode(b, E.fit_label_codes(b, BUREAU_CAT)))
+    return finalize(E.label_encode(b, E.fit_label_codes(b, BUREAU_CAT), BUREAU_CAT))
 
 
 def union_with_origin(spark, d):
@@ -415,11 +411,6 @@ def csv_round_trip(spark, d):
     return finalize(IO.read_csv(spark, path, schema, na_token="NA"))
 
 
-def schema_manifest(spark, d):
-    """O-A5: (position, name, dtype) of the application feature frame."""
-    return IO.schema_manifest(affordability_frame(spark, d))
-
-
 def holdout_split(spark, d):
     """O-I2: 33 % hash hold-out of train clients."""
     tr = _train(spark, d).select(KEY)
@@ -464,7 +455,7 @@ FEATS = MODEL_FEATURES + ["INCOME_CREDIT_PERC", "ANNUITY_LENGTH"]
 def gbt_cv_scores(spark, d):
     """O-I6..I9, O-I8, O-A7: weighted 5-fold CV of boosted trees, AUC table."""
     mf = _model_frame(spark, d)
-    tr = S.stratified_folds(mf.filter(~F.col("is_test")), KEY, "label", 5, 1234).cache()
+    tr = S.stratified_folds(mf.filter(~F.col("is_test")), KEY, "label", 5, 1234)
     table, _ = ML.cross_validate(tr, KEY, FEATS, "label", "weight", "fold", 5,
                                  {"maxIter": 10, "maxDepth": 3})
     return finalize(table)
@@ -490,7 +481,7 @@ def shift_weights(spark, d):
     """O-I10, O-I3, O-G2, O-I11: covariate-shift weights from resampled fits."""
     mf = _model_frame(spark, d)
     tr, te = mf.filter(~F.col("is_test")), mf.filter(F.col("is_test"))
-    w = WT.shift_weights(tr, te, KEY, FEATS, n_iter=5, fraction=0.3,
+    w = WT.shift_weights(tr, te, KEY, FEATS, n_iter=15, fraction=0.3,
                          params={"maxIter": 10, "maxDepth": 3})
     return finalize(w)
 

@@ -16,7 +16,7 @@ _NAMES = [
     "suffix_join", "duplicate_keys", "category_drift", "describe_compare", "skewness",
     "corr_matrix", "histogram", "group_size_histogram", "missing_counts",
     "fold_assign", "weighted_auc", "density_odds", "pd_grid", "top_k", "column_agreement",
-    "submission_merge", "csv_round_trip", "schema_manifest", "holdout_split",
+    "submission_merge", "csv_round_trip", "holdout_split",
     "bootstrap_samples", "preview", "natural_join",
     "gbt_cv_scores", "gbt_submission", "shift_weights", "importance_and_pd",
 ]

@@ -72,9 +72,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, what: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for ``what``."""
     import uuid
-    d = checkpoint_dir(spark)
-    if not d:
-        raise RuntimeError("no spark.checkpoint.dir configured: a shared folder is needed")
+    d = ensure_checkpoint_dir(spark)
     return f"{d.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
@@ -82,9 +80,8 @@ def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage of a frame that several jobs will read.
 
     Reliable ``checkpoint()`` into the shared checkpoint folder (survives
-    executor loss; never ``localCheckpoint``).  Without a configured folder
-    the frame is returned as is and simply recomputed.
+    executor loss; never ``localCheckpoint``).  The folder is the session's; a
+    scratch folder is taken only where none is set.
     """
-    if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
-    return df
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -34,25 +34,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return df
 
 
-def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None
-                 ) -> DataFrame:
-    """Parquet scan that is split at least ``min_partitions`` ways.
-
-    A file with one row group is read by one task whatever its size, and all
-    map-side work up to the first shuffle then runs in that task.  When the
-    scan has fewer partitions than the session's default parallelism it is
-    spread round-robin (no key, so no skew); a large input on a cluster,
-    with thousands of splits, is returned as is (no extra shuffle).
-    """
-    df = spark.read.parquet(path)
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    key = (path, want)
-    if key not in _SPLIT_CHECK:
-        _SPLIT_CHECK[key] = df.rdd.getNumPartitions() < want
-    return df.repartition(want) if _SPLIT_CHECK[key] else df
-
-
-_SPLIT_CHECK: dict[tuple[str, int], bool] = {}  # per path: is the scan under-split?
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet scan; its splits follow the session's ``spark.sql.files.*`` settings."""
+    return spark.read.parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

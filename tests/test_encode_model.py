@@ -25,8 +25,8 @@ def test_one_hot_and_label_codes(spark):
     r = {x["SK_ID_CURR"]: x for x in E.one_hot(tr, vocab).collect()}
     assert (r[3]["CODE_GENDER_F"], r[3]["CODE_GENDER_M"]) == (0, 0)   # NULL -> zeros
     codes = E.fit_label_codes(tr, ["CODE_GENDER"])
-    assert codes == {"CODE_GENDER": {"F": 1, "M": 2, "XNA": 3}}
-    le = {x["SK_ID_CURR"]: x["CODE_GENDER"] for x in E.label_encode(tr, codes).collect()}
+    assert {r["value"]: r["code"] for r in codes.collect()} == {"F": 1, "M": 2, "XNA": 3}
+    le = {x["SK_ID_CURR"]: x["CODE_GENDER"] for x in E.label_encode(tr, codes, ["CODE_GENDER"]).collect()}
     assert le == {1: 2, 2: 1, 3: None, 4: 3}
 
 
@@ -40,9 +40,10 @@ def test_impute_fit_on_train_apply_to_test(spark):
         assert math.isclose(r[f"FLAG.tr{st}"], fl)
 
 
-def test_column_agreement():
-    cols = ["a", "a.trmedian", "b", "b.trmean", "c.trmode"]
-    assert C.prefer_median_imputed(cols) == ["a.trmedian", "b"]
+def test_column_agreement(spark):
+    df = spark.createDataFrame([(1,) * 6], "a int, `a.trmedian` int, `a.trmean` int, b int, `c.trmode` int, c int")
+    kept = C.keep_statistic(df, {"a": ["mean", "median"], "c": ["mode"]}, "median")
+    assert kept.columns == ["a.trmedian", "b", "c"]
     assert C.column_differences(["x", "y", "TARGET"], ["y", "x", "z"]) == (["TARGET"], ["z"])
 
 
@@ -121,3 +122,25 @@ def test_per_fold_feature_prep_matches_separate_fits(spark):
         assert preps[f].indicators == one.indicators
         for c in ["x1", "x2"]:
             assert math.isclose(preps[f].fill[c], one.fill[c], rel_tol=1e-12)
+
+
+def test_resamples_differ_and_overlap_by_chance(spark):
+    from featspark.operators import split as S
+    keys = spark.range(1, 20_001).withColumnRenamed("id", "k")
+    r = S.repeated_subsamples(keys, "k", 0.3, 15).groupBy("iteration").agg(F.collect_set("k").alias("ks")).collect()
+    sets = [set(x["ks"]) for x in r]
+    assert len(sets) == 15 and all(abs(len(s) / 20_000 - 0.3) < 0.02 for s in sets)
+    for i in range(15):
+        for j in range(i):
+            assert abs(len(sets[i] & sets[j]) / 20_000 - 0.09) < 0.02
+    hold = {x["k"] for x in S.holdout_split(keys, "k", 0.33, 42)[1].collect()}
+    assert abs(len(sets[0] & hold) / 20_000 - 0.099) < 0.02
+    a, b = ({x["k"]: x["fold"] for x in S.hash_folds(keys, "k", 5, seed).collect()} for seed in (1234, 99))
+    assert sum(a[k] == b[k] for k in a) / 20_000 < 0.25
+
+
+def test_label_codes_of_many_categories(spark):
+    df = spark.range(6001).select(F.format_string("v%05d", "id").alias("c"))
+    got = E.label_encode(df.withColumn("was", F.col("c")), E.fit_label_codes(df, ["c"]), ["c"])
+    assert got.filter(F.col("c") != F.substring("was", 2, 5).cast("int") + 1).count() == 0
+    assert got.agg(F.max("c")).first()[0] == 6001
