@@ -122,14 +122,14 @@ def _d(v: float) -> str:
 def round_ladder(places: int, coarse: bool = False) -> list[tuple[float, int]]:
     """(magnitude bound, places) steps used by ``stable_round``.
 
-    Fine: the places shrink by 2 for every 100x past ``10**(12 - places)``,
-    so the unit stays far above double noise (~1e-14 relative).  Coarse:
-    ``places`` below 1e8, whole numbers below 1e16 (enough for presentation,
-    and a much smaller expression).
+    Fine: one place less for every 10x past ``10**(12 - places)``, so at least
+    twelve digits stay and the unit is far above double noise (~1e-14
+    relative); from 1e12 on values are left as they are.  Coarse: ``places``
+    below 1e8, cents below 1e10, whole numbers below 1e16 (presentation).
     """
     if coarse:
-        return [(1e8, places), (1e16, 0)]
-    return [(10.0 ** (12 - p), p) for p in range(places, places - 9, -2)]
+        return [(1e8, places), (1e10, 2), (1e16, 0)]
+    return [(10.0 ** (12 - p), p) for p in range(places, -1, -1)]
 
 
 def stable_round_sql(x: str, places: int, coarse: bool = False) -> str:

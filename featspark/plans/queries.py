@@ -129,7 +129,8 @@ def loan_client_two_level(spark, d):
 
 
 def two_level_ratio_frame(spark, d):
-    tl = two_level_frame(spark, d)
+    tl = A.two_level_stats(installments_coded(spark, d), KEY, "loan_id", INST_COLS,
+                           "_installments", stats=["sum"], stats2=["mean"])
     cols = [c for c in tl.columns if "_sum_mean" in c]
     return tl.select(KEY, *X.all_pair_ratios(cols))
 

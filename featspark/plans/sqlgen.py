@@ -8,18 +8,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from featspark.functions.expr import round_ladder
-
 
 def q(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
 def sround(x: str, places: int, coarse: bool = False) -> str:
-    """SQL twin of ``featspark.functions.expr.stable_round``."""
+    """Rounding to ``places``, fewer for large values (twelve digits at least; in
+    presentation cents up to 1e10, whole numbers up to 1e16)."""
     y = f"({x} + {x} * 1e-13)"
+    steps = [(1e8, places), (1e10, 2), (1e16, 0)] if coarse else [
+        (10.0 ** (12 - p), p) for p in range(places, -1, -1)]
     parts = []
-    for bound, p in round_ladder(places, coarse):
+    for bound, p in steps:
         f = repr(10.0 ** p)
         parts.append(f"WHEN abs({x}) < {bound!r} THEN sign({y}) * floor(abs({y} * {f}) + 0.5) / {f}")
     return f"(CASE {' '.join(parts)} ELSE {x} END)"
