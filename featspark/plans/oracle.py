@@ -11,7 +11,6 @@ BUILDING FURNITURE HOUSEHOLD MACHINERY.
 
 from __future__ import annotations
 
-from featspark.functions.names import clean_token
 from featspark.plans.sqlgen import APP, BB, BUREAU, INST, fin, q, two_level
 
 ORDER_STATUS = ["F", "O", "P"]
@@ -22,6 +21,11 @@ INST_COLS = ["amt_due", "amt_paid", "payment_diff", "cnt_units", "days_late",
              "l_linenumber", "status"]
 
 
+def header(value: str) -> str:
+    """Category value as part of a column name: blanks out, '-' to '_'."""
+    return value.replace(" ", "").replace("-", "_")
+
+
 def tok(col: str) -> str:
     return f"replace(coalesce(CAST({col} AS VARCHAR), 'NA'), ' ', '')"
 
@@ -68,7 +72,7 @@ def _cat_count_parts():
     for field, vocab in (("o_orderstatus", ORDER_STATUS), ("o_orderpriority", PRIORITY)):
         for v in vocab:
             t = v.replace(" ", "")
-            n = f"{clean_token(v)}_count_{field}_bureau"
+            n = f"{header(v)}_count_{field}_bureau"
             sel.append(f"COUNT(*) FILTER (WHERE {tok(field)} = '{t}') AS {q(n)}")
             cols.append((n, "i"))
     return cols, f"SELECT client_id, {', '.join(sel)} FROM ({BUREAU}) b GROUP BY client_id"

@@ -5,6 +5,8 @@ from __future__ import annotations
 from featspark.plans import features as FT
 from featspark.plans import oracle as O
 from featspark.plans import queries as Q
+from featspark.plans import sections as SE
+from featspark.plans import sections_sql as SQ
 
 _NAMES = [
     "client_basic_stats", "client_category_counts", "client_status_counts_proportions",
@@ -24,4 +26,7 @@ _NAMES = [
 QUERIES = {"client_feature_table": FT.client_feature_table}
 QUERIES.update({n: getattr(Q, n) for n in _NAMES})
 ORACLE = {n: getattr(O, n) for n in ["client_feature_table"] + _NAMES if hasattr(O, n)}
+_SECTIONS = ["pos_features", "card_features", "previous_application_features", "train_test_assembly"]
+QUERIES.update({n: getattr(SE, n) for n in _SECTIONS})
+ORACLE.update({n: getattr(SQ, n) for n in _SECTIONS})
 FLAGSHIP = "client_feature_table"
