@@ -87,16 +87,27 @@ class Scratch:
             p.getFileSystem(conf).delete(p, True)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of long texts stay small: where the session has Spark's
+    default of 10,000 rows a batch, it is set to 500."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, "500")
+
+
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]],
              schema: str) -> DataFrame:
     """Arrow batches through ``fn`` (columns as lists in, columns as lists out)."""
     arrow = _arrow_schema(schema)
+    bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            # bounded pieces: a batch of long texts never sits decoded at once
-            for lo in range(0, b.num_rows, 256):
-                out = fn(b.slice(lo, 256).to_pydict())
+            # a batch of long texts never sits decoded at once
+            for lo in range(0, b.num_rows, 100):
+                out = fn(b.slice(lo, 100).to_pydict())
                 yield pa.RecordBatch.from_pydict(out, schema=arrow)
 
     return df.mapInArrow(run, schema)

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featspark.llm.common import Scratch, map_rows, text_of
+from featspark.llm.common import Scratch, bounded_batches, map_rows, text_of
 
 GRAM = 150
 SHALLOW = 32
@@ -215,6 +215,8 @@ def anchor_segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
     """(tid, kh, d1, d2, a, lo, hi) of every segment of every text."""
     schema = pa.schema([(c, pa.int64()) for c in ("tid", "kh", "d1", "d2")] + [(c, pa.int64()) for c in ("a", "lo", "hi")])
 
+    bounded_batches(texts.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cols: list[list] = [[] for _ in range(7)]
@@ -224,7 +226,7 @@ def anchor_segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
                     d = hashlib.blake2b(data[lo:hi + length], digest_size=16, salt=struct.pack(">II", a - lo, hi - lo))
                     for c, v in zip(cols, (tid, kh, *_signed(d.digest()), a, lo, hi)):
                         c.append(v)
-                if len(cols[0]) > 100_000:
+                if len(cols[0]) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=schema)
                     cols = [[] for _ in range(7)]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=schema)

@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featspark.llm.common import (Hasher, held_out, labelled_sample, lower_ascii, map_rows, sigmoid,
+from featspark.llm.common import (Hasher, bounded_batches, held_out, labelled_sample, lower_ascii, map_rows, sigmoid,
                                   stack, text_of)
 
 BITS = 18
@@ -293,5 +293,6 @@ def text_scorer(model: ToxicityModel, bits: int) -> Callable[[list[str]], list[f
 def keep_clean(docs: DataFrame, model: ToxicityModel, bits: int = BITS) -> DataFrame:
     """Rows of ``docs`` scored under 0.5, columns unchanged, in one pass."""
     score = text_scorer(model, bits)
+    bounded_batches(docs.sparkSession)
     scored = F.pandas_udf(lambda s: pd.Series(score(s.tolist())), "double")
     return docs.filter(scored(text_of()) < 0.5)
