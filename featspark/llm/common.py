@@ -6,6 +6,7 @@ the six ASCII blanks (space, tab, LF, VT, FF, CR); a null text counts as empty.
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -79,6 +80,13 @@ class Scratch:
     def read(self, name: str, like: DataFrame) -> DataFrame:
         return self.spark.read.schema(like.schema).parquet(f"{self.root}/{name}")
 
+    def release(self) -> None:
+        """Let Spark delete the shuffle files of finished steps now: its cleaner
+        acts once the driver's garbage collector has seen them unused, which a
+        driver with memory to spare may put off until the disks are full."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()

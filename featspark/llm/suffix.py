@@ -306,12 +306,14 @@ def repeated_spans(texts: DataFrame, scratch: Scratch, length: int = 400, gram:
     key = ["kh", "d1", "d2"]
     kinds = scratch.write("kinds", found.groupBy(*key).agg(
         F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("tid", "a", "lo", "hi")]))
+    scratch.release()
     whole = found.join(kinds.filter("n > 1").select(*key), key, "left_semi")
     whole = whole.select("tid", F.col("lo").alias("s"), (F.col("hi") + length).alias("e"))
     grams = kinds.groupBy("kh").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
     grams = grams.filter("kinds > 1 AND least = 1").select("kh", "kinds")
     mixed = kinds.join(grams, "kh")
     rows = scratch.write("mixed", _segment_bytes(texts, mixed, length).join(grams, "kh"))
+    scratch.release()
     tasks = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // 20_000))
     few = _sorted_spans(rows.filter(F.col("kinds") <= group_limit).drop("kinds"), tasks, length)
     many = _counted_spans(rows.filter(F.col("kinds") > group_limit), length)
@@ -329,10 +331,12 @@ def remove_repeats(docs: DataFrame, length: int = 400, gram: int = GRAM, group_l
     texts = d.filter(F.col("n_bytes") >= length).groupBy("sha").agg(
         F.count(F.lit(1)).alias("copies"), F.first("data").alias("data"))
     texts = scratch.write("texts", texts.withColumn("tid", F.monotonically_increasing_id()))
+    scratch.release()
     spans = repeated_spans(texts, scratch, length, gram, group_limit)
     lists = spans.distinct().groupBy("tid").agg(F.collect_list(F.struct("s", "e")).alias("l"))
     lists = scratch.write("spans", lists)
     scratch.drop("anchors", "kinds", "mixed")
+    scratch.release()
 
     def cut(b: dict) -> dict:
         out = {k: [] for k in ("n_removed", "n_spans", "kept_sha256", "s", "e", "kept")}
