@@ -12,8 +12,8 @@ anchors at equal offsets, so a window can only equal windows whose anchors
 begin the same gram.  Consecutive windows with one anchor form a segment.
 
 1. Equal texts collapse; a text of 400 bytes or more that has a copy goes whole.
-2. Segments are counted by (gram hash, 128-bit digest of bytes and geometry):
-   equal segments are repeated whole.
+2. Segments are counted by 128 bits: the gram hash and a 64-bit digest of bytes
+   and geometry; equal segments are repeated whole.
 3. Where different segments share a gram, their bytes meet: the suffixes from
    the anchor onwards, and the reversed prefixes before it, are ordered by
    multikey quicksort to a shallow depth and by blind tries below it.  Windows
@@ -212,26 +212,26 @@ def _signed(b: bytes) -> tuple[int, int]:
 
 
 def anchor_segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """(tid, kh, d1, d2, a, lo, hi) of every segment of every text."""
-    schema = pa.schema([(c, pa.int64()) for c in ("tid", "kh", "d1", "d2")] + [(c, pa.int64()) for c in ("a", "lo", "hi")])
+    """(tid, kh, d, a, lo, hi) of every segment of every text."""
+    schema = pa.schema([(c, pa.int64()) for c in ("tid", "kh", "d", "a", "lo", "hi")])
 
     bounded_batches(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cols: list[list] = [[] for _ in range(7)]
+            cols: list[list] = [[] for _ in schema]
             for tid, data in zip(b["tid"].to_pylist(), b["data"]):
                 data = data.as_py()
                 for kh, a, lo, hi in anchors(data, length, gram):
-                    d = hashlib.blake2b(data[lo:hi + length], digest_size=16, salt=struct.pack(">II", a - lo, hi - lo))
-                    for c, v in zip(cols, (tid, kh, *_signed(d.digest()), a, lo, hi)):
+                    d = hashlib.blake2b(data[lo:hi + length], digest_size=8, salt=struct.pack(">II", a - lo, hi - lo))
+                    for c, v in zip(cols, (tid, kh, int.from_bytes(d.digest(), "big", signed=True), a, lo, hi)):
                         c.append(v)
                 if len(cols[0]) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=schema)
-                    cols = [[] for _ in range(7)]
+                    cols = [[] for _ in schema]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=schema)
 
-    return texts.select("tid", "data").mapInArrow(run, "tid long, kh long, d1 long, d2 long, a long, lo long, hi long")
+    return texts.select("tid", "data").mapInArrow(run, "tid long, kh long, d long, a long, lo long, hi long")
 
 
 def _segment_bytes(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -303,12 +303,10 @@ def repeated_spans(texts: DataFrame, scratch: Scratch, length: int = 400, gram:
     """(tid, s, e) of bytes in strings that start twice or more among ``texts``
     (tid, data: different texts of at least ``length`` bytes)."""
     found = scratch.write("anchors", anchor_segments(texts, length, gram))
-    key = ["kh", "d1", "d2"]
+    key = ["kh", "d"]
     kinds = scratch.write("kinds", found.groupBy(*key).agg(
         F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("tid", "a", "lo", "hi")]))
     scratch.release()
-    whole = found.join(kinds.filter("n > 1").select(*key), key, "left_semi")
-    whole = whole.select("tid", F.col("lo").alias("s"), (F.col("hi") + length).alias("e"))
     grams = kinds.groupBy("kh").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
     grams = grams.filter("kinds > 1 AND least = 1").select("kh", "kinds")
     mixed = kinds.join(grams, "kh")
@@ -317,7 +315,12 @@ def repeated_spans(texts: DataFrame, scratch: Scratch, length: int = 400, gram:
     tasks = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // 20_000))
     few = _sorted_spans(rows.filter(F.col("kinds") <= group_limit).drop("kinds"), tasks, length)
     many = _counted_spans(rows.filter(F.col("kinds") > group_limit), length)
-    return whole.unionByName(few).unionByName(many)
+    parts = scratch.write("parts", few.unionByName(many))
+    scratch.drop("mixed")
+    scratch.release()
+    whole = found.join(kinds.filter("n > 1").select(*key), key, "left_semi")
+    whole = whole.select("tid", F.col("lo").alias("s"), (F.col("hi") + length).alias("e"))
+    return whole.unionByName(parts)
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, gram: int = GRAM, group_limit: int = GROUP_LIMIT,
@@ -335,7 +338,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, gram: int = GRAM, group_l
     spans = repeated_spans(texts, scratch, length, gram, group_limit)
     lists = spans.distinct().groupBy("tid").agg(F.collect_list(F.struct("s", "e")).alias("l"))
     lists = scratch.write("spans", lists)
-    scratch.drop("anchors", "kinds", "mixed")
+    scratch.drop("anchors", "kinds", "parts")
     scratch.release()
 
     def cut(b: dict) -> dict:
