@@ -37,6 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -220,8 +221,9 @@ def anchor_segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cols: list[list] = [[] for _ in schema]
+            unpack = zstandard.ZstdDecompressor().decompress
             for tid, data in zip(b["tid"].to_pylist(), b["data"]):
-                data = data.as_py()
+                data = unpack(data.as_py())
                 for kh, a, lo, hi in anchors(data, length, gram):
                     d = hashlib.blake2b(data[lo:hi + length], digest_size=8, salt=struct.pack(">II", a - lo, hi - lo))
                     for c, v in zip(cols, (tid, kh, int.from_bytes(d.digest(), "big", signed=True), a, lo, hi)):
@@ -239,7 +241,9 @@ def _segment_bytes(texts: DataFrame, wanted: DataFrame, length: int) -> DataFram
     lists = wanted.groupBy("tid").agg(F.collect_list(F.struct("kh", "n", "a", "lo", "hi")).alias("l"))
 
     def cut(b: dict) -> dict:
-        return {"tid": b["tid"], "seg": [[d[x["lo"]:x["hi"] + length] for x in l] for d, l in zip(b["data"], b["l"])],
+        unpack = zstandard.ZstdDecompressor().decompress
+        seg = [[d[x["lo"]:x["hi"] + length] for x in l] for d, l in zip(map(unpack, b["data"]), b["l"])]
+        return {"tid": b["tid"], "seg": seg,
                 **{k: [[x[k] for x in l] for l in b["l"]] for k in ("kh", "n", "a", "lo", "hi")}}
 
     longs = ", ".join(f"{k} array<long>" for k in ("kh", "n", "a", "lo", "hi"))
@@ -301,7 +305,7 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def repeated_spans(texts: DataFrame, scratch: Scratch, length: int = 400, gram: int = GRAM,
                    group_limit: int = GROUP_LIMIT) -> DataFrame:
     """(tid, s, e) of bytes in strings that start twice or more among ``texts``
-    (tid, data: different texts of at least ``length`` bytes)."""
+    (tid, data: different texts of at least ``length`` bytes, packed)."""
     found = scratch.write("anchors", anchor_segments(texts, length, gram))
     key = ["kh", "d"]
     kinds = scratch.write("kinds", found.groupBy(*key).agg(
@@ -333,7 +337,14 @@ def remove_repeats(docs: DataFrame, length: int = 400, gram: int = GRAM, group_l
                     F.sha2(data, 256).alias("sha"))
     texts = d.filter(F.col("n_bytes") >= length).groupBy("sha").agg(
         F.count(F.lit(1)).alias("copies"), F.first("data").alias("data"))
-    texts = scratch.write("texts", texts.withColumn("tid", F.monotonically_increasing_id()))
+
+    def pack(b: dict) -> dict:  # texts are moved twice more: compressed
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        return {**b, "data": [squeeze(x) for x in b["data"]]}
+
+    texts = scratch.write("texts", map_rows(
+        texts.select(F.monotonically_increasing_id().alias("tid"), "sha", "copies", "data"), pack,
+        "tid long, sha string, copies long, data binary"))
     scratch.release()
     spans = repeated_spans(texts, scratch, length, gram, group_limit)
     lists = spans.distinct().groupBy("tid").agg(F.collect_list(F.struct("s", "e")).alias("l"))
@@ -343,7 +354,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, gram: int = GRAM, group_l
 
     def cut(b: dict) -> dict:
         out = {k: [] for k in ("n_removed", "n_spans", "kept_sha256", "s", "e", "kept")}
-        for data, l, copies in zip(b["data"], b["l"], b["copies"]):
+        unpack = zstandard.ZstdDecompressor().decompress
+        for data, l, copies in zip(map(unpack, b["data"]), b["l"], b["copies"]):
             spans = [(0, len(data))] if copies > 1 else merge([(x["s"], x["e"]) for x in l or []])
             kept, last = [], 0
             for s, e in spans:
