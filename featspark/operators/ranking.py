@@ -1,14 +1,14 @@
 """Ordered running sums and row numbers without a one-task window.
 
 A window ordered over a whole table (or over a 2-valued label) runs in one
-task.  Here each group's order column is cut into ranges at approximate
-quantiles (``percentile_approx`` per group: a fixed-size sketch, so the
-split table has one small array per group); per (group, range) totals are
-tiny and their exclusive prefix sums become offsets; the running sum inside
-each range is a window partitioned by (group, range), so the work spreads
-over as many tasks as there are ranges.  Meant for few groups (folds,
-labels, variables): split points and offsets (groups x ranges values, size
-checked) are collected and broadcast back; above the bound they are joined.
+task.  Here rows are range-partitioned by (group, order): Spark's own split
+points cut a large group into as many partitions as its share of the rows
+asks for, and small groups share one.  A *piece* is what one partition holds
+of one group.  Only the first and the last group of a partition can go on in
+another, so at most two pieces per partition belong to a group that spans
+partitions: their totals (``spanning``) are a table of no more than twice the
+number of partitions whatever the data, and that is what is broadcast.  No
+number of groups or ranges is fixed, and nothing is collected.
 """
 
 from __future__ import annotations
@@ -18,115 +18,68 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_INLINE = 20_000  # (group, range) entries inlined as literals; above: broadcast join
+PIECE = "_p"
 
 
-def _gkey(group_cols: Sequence[str]) -> Column:
-    """One string key for the group columns (for literal map lookups)."""
-    if not group_cols:
-        return F.lit("")
-    return F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000"))
-                                   for c in group_cols])
+def _key(group_cols: Sequence[str]) -> Column:
+    return F.struct(*[F.col(c) for c in group_cols]) if group_cols else F.struct(F.lit(0).alias("all"))
 
 
-def _pykey(row, group_cols) -> str:
-    return "\u0001".join("\u0000" if row[c] is None else _spark_str(row[c]) for c in group_cols)
-
-
-def _spark_str(v) -> str:
-    if isinstance(v, bool):
-        return "true" if v else "false"
-    return str(v)
-
-
-def _lit_map(pairs):
-    from itertools import chain
-    return F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in pairs))
-
-
-def _small_frame(df: DataFrame, group_cols: Sequence[str], rows: list[tuple], extra: str):
-    """A DataFrame of collected (group..., extra...) rows with the group
-    columns' original types, to broadcast-join back (hash lookup per row)."""
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    ddl = ", ".join([f"`{c}` {types[c]}" for c in group_cols] + [extra])
-    return df.sparkSession.createDataFrame(rows, ddl)
+def range_pieces(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+    """``df`` range-partitioned by (group, order), the partition number in ``_p``.
 
+    Written once (``session.written``): the split points come from a sample,
+    and several steps must see the same ones.
+    """
+    from featspark.session import written
+    d = df.repartitionByRange(*group_cols, *order_cols)
+    return written(d.withColumn(PIECE, F.spark_partition_id()), "pieces")
 
-def with_range_id(df: DataFrame, group_cols: Sequence[str], order_col: str,
-                  n_ranges: int = 64, name: str = "_rid") -> DataFrame:
-    """Add the index of the per-group quantile range holding ``order_col``.
 
-    Split points come from one ``percentile_approx`` aggregate per group (a
-    fixed-size sketch).  The split table (one small array per group, count
-    checked) is collected and broadcast back: a hash lookup per row.
+def with_spanning(d: DataFrame, group_cols: Sequence[str], sums: dict[str, Column],
+                  tops: dict[str, Column] | None = None) -> DataFrame:
+    """Adds to the rows of groups that span partitions (NULL for all others),
+    per entry of ``sums``: ``<name>_before``, the sum over the group's earlier
+    pieces, and ``<name>_all``, the sum over all; per entry of ``tops`` the
+    maximum ``<name>_all``.
     """
-    group_cols = list(group_cols)
-    probs = [i / n_ranges for i in range(1, n_ranges)]
-    x = F.col(order_col).cast("double")
-    sp = F.array_distinct(F.percentile_approx(x, probs, 10000)).alias("_splits")
-    splits = df.groupBy(*group_cols).agg(sp) if group_cols else df.agg(sp)
-    limit = MAX_INLINE // n_ranges
-    rows = splits.limit(limit + 1).collect()
-    if not group_cols:
-        arr = [float(v) for v in (rows[0]["_splits"] or [])] if rows else []
-        d = df.withColumn("_splits", F.array(*[F.lit(v) for v in arr]) if arr
-                          else F.array().cast("array<double>"))
-    elif len(rows) <= limit:
-        small = _small_frame(df, group_cols, [tuple(r[c] for c in group_cols)
-                                              + ([float(v) for v in (r["_splits"] or [])],)
-                                              for r in rows], "_splits array<double>")
-        d = df.join(F.broadcast(small), on=group_cols, how="left")
-    else:
-        d = df.join(splits, on=group_cols, how="left")
-    rid = F.size(F.filter(F.coalesce(F.col("_splits"), F.array().cast("array<double>")),
-                          lambda s: s <= x))
-    return d.withColumn(name, rid).drop("_splits")
+    tops = tops or {}
+    ends = d.groupBy(PIECE).agg(F.min(_key(group_cols)).alias("_a"), F.max(_key(group_cols)).alias("_b"))
+    pieces = (d.join(F.broadcast(ends.withColumnRenamed(PIECE, "_q")), F.col(PIECE) == F.col("_q"))
+               .withColumn("_k", _key(group_cols))
+               .filter(F.col("_k").eqNullSafe(F.col("_a")) | F.col("_k").eqNullSafe(F.col("_b")))
+               .groupBy("_q", "_k").agg(*[F.sum(x).alias(n) for n, x in sums.items()],
+                                        *[F.max(x).alias(n) for n, x in tops.items()]))
+    whole = Window.partitionBy("_k")
+    before = whole.orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)
+    span = (pieces.select(
+        "_q", "_k", F.count(F.lit(1)).over(whole).alias("_pieces"),
+        *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_before") for n in sums],
+        *[F.sum(n).over(whole).alias(f"{n}_all") for n in sums],
+        *[F.max(n).over(whole).alias(f"{n}_all") for n in tops])
+        .filter("_pieces > 1").drop("_pieces"))
+    on = (F.col(PIECE) == F.col("_q")) & _key(group_cols).eqNullSafe(F.col("_k"))
+    return d.join(F.broadcast(span), on, "left").drop("_q", "_k")
 
 
 def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                value_col: str, out: str, inclusive: bool = False,
-                n_ranges: int = 64, checkpoint: bool = True) -> DataFrame:
+                value_col: str, out: str, inclusive: bool = False) -> DataFrame:
     """Prefix sum of ``value_col`` in ``order_cols`` order within ``group_cols``.
 
-    ``order_cols[0]`` must be numeric; later order columns break ties.
-    ``inclusive=False`` gives the sum over strictly earlier rows.  The input
-    is read by three jobs (splits, range totals, result), so its lineage is
-    cut first (``session.materialize``).  The (group, range) offsets are
-    computed on the driver from the collected totals (count checked) and
-    broadcast back.
+    ``inclusive=False`` gives the sum over strictly earlier rows; NULL values
+    add nothing, and NULL group keys are a group.  Rows that tie in all order
+    columns share a partition: collapse large ties before.
     """
-    from featspark.session import materialize
-    group_cols = list(group_cols)
-    src = materialize(df) if checkpoint else df
-    d = with_range_id(src, group_cols, order_cols[0], n_ranges)
-    totals = d.groupBy(*group_cols, "_rid").agg(F.sum(value_col).alias("_t"))
-    trows = totals.limit(MAX_INLINE + 1).collect()
-    if len(trows) <= MAX_INLINE:
-        vt = dict((f.name, f.dataType.simpleString()) for f in totals.schema.fields)["_t"]
-        conv = float if vt in ("double", "float") else int
-        acc, offs = {}, []
-        for r in sorted(trows, key=lambda r: (_pykey(r, group_cols), r["_rid"])):
-            k = _pykey(r, group_cols)
-            offs.append(tuple(r[c] for c in group_cols) + (r["_rid"], conv(acc.get(k, 0))))
-            acc[k] = acc.get(k, 0) + (r["_t"] or 0)
-        small = _small_frame(d, group_cols, offs, f"_rid int, _off {vt}")
-        d = d.join(F.broadcast(small), on=group_cols + ["_rid"], how="left")
-    else:
-        wo = Window.partitionBy(*group_cols).orderBy("_rid").rowsBetween(
-            Window.unboundedPreceding, -1)
-        offsets = totals.select(*group_cols, "_rid",
-                                F.coalesce(F.sum("_t").over(wo), F.lit(0)).alias("_off"))
-        d = d.join(offsets, on=group_cols + ["_rid"], how="left")
-    frame = (Window.unboundedPreceding, 0 if inclusive else -1)
-    wi = Window.partitionBy(*group_cols, "_rid").orderBy(*order_cols).rowsBetween(*frame)
-    return (d.withColumn(out, F.coalesce(F.col("_off"), F.lit(0))
-                         + F.coalesce(F.sum(value_col).over(wi), F.lit(0)))
-             .drop("_rid", "_off"))
+    g = list(group_cols)
+    d = with_spanning(range_pieces(df, g, order_cols), g, {"_t": F.col(value_col)})
+    w = (Window.partitionBy(PIECE, *g).orderBy(*order_cols)
+               .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
+    total = F.coalesce(F.col("_t_before"), F.lit(0)) + F.coalesce(F.sum(value_col).over(w), F.lit(0))
+    return d.withColumn(out, total).drop(PIECE, "_t_before", "_t_all")
 
 
 def row_number_in_groups(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                         out: str = "rn", n_ranges: int = 64) -> DataFrame:
+                         out: str = "rn") -> DataFrame:
     """1-based row number in ``order_cols`` order within ``group_cols``."""
     d = df.withColumn("_one", F.lit(1))
-    return running_sum(d, group_cols, order_cols, "_one", out, inclusive=True,
-                       n_ranges=n_ranges).drop("_one")
+    return running_sum(d, group_cols, order_cols, "_one", out, inclusive=True).drop("_one")

@@ -118,9 +118,7 @@ def client_filtered_counts(spark, d):
 
 
 def two_level_frame(spark, d):
-    from featspark.plans.features import hot_loans
-    return A.two_level_stats(installments_coded(spark, d), KEY, "loan_id", INST_COLS,
-                             "_installments", hot=hot_loans(spark, d))
+    return A.two_level_stats(installments_coded(spark, d), KEY, "loan_id", INST_COLS, "_installments")
 
 
 def loan_client_two_level(spark, d):

@@ -85,3 +85,11 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, what: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, read back: like
+    ``materialize``, for frames of which later steps read a few columns."""
+    path = shared_dir(df.sparkSession, what)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from featspark.operators import profile as PR
 from featspark.operators.quantile import exact_modes, exact_quantiles
@@ -35,16 +36,30 @@ def test_exact_quantiles_match_pandas(spark):
 def test_running_sum_and_row_numbers(spark):
     pdf = _skewed(2000)
     df = spark.createDataFrame(pdf)
-    rs = running_sum(df, ["g"], ["a", "k"], "b", "cum", inclusive=True, n_ranges=8).toPandas()
+    rs = running_sum(df, ["g"], ["a", "k"], "b", "cum", inclusive=True).toPandas()
     exp = pdf.sort_values(["g", "a", "k"]).assign(
         cum=lambda t: t.groupby("g")["b"].transform(lambda s: s.fillna(0).cumsum()))
     m = rs.merge(exp[["k", "cum"]], on="k", suffixes=("", "_e"))
     assert np.allclose(m["cum"], m["cum_e"])
-    rn = row_number_in_groups(df, ["g"], ["a", "k"], "rn", n_ranges=8).toPandas()
+    rn = row_number_in_groups(df, ["g"], ["a", "k"], "rn").toPandas()
     for _, grp in rn.groupby("g"):
         assert sorted(grp["rn"]) == list(range(1, len(grp) + 1))
 
 
+def test_running_sum_of_many_groups_and_of_nothing(spark):
+    # 400 groups, one with a third of all rows, one NULL
+    pdf = pd.DataFrame({"k": range(6000)})
+    pdf["g"] = [7 if i < 2000 else i % 400 for i in range(6000)]
+    df = spark.createDataFrame(pdf).withColumn("g", F.expr("nullif(g, 11)"))
+    got = row_number_in_groups(df, ["g"], ["k"]).toPandas()
+    for _, grp in got.groupby("g", dropna=False):
+        assert list(grp.sort_values("k")["rn"]) == list(range(1, len(grp) + 1))
+    assert got["g"].isna().sum() == 10 and len(got) == 6000
+    whole = row_number_in_groups(df, [], ["k"]).toPandas().sort_values("k")
+    assert list(whole["rn"]) == list(range(1, 6001))
+    assert row_number_in_groups(df.limit(0), ["g"], ["k"]).count() == 0
+
+
 def test_folds_balanced(spark):
     pdf = _skewed(1000)
     df = spark.createDataFrame(pdf[["k", "g"]])
