@@ -19,20 +19,26 @@ from pyspark.sql import functions as F
 from featspark.operators.ranking import running_sum
 
 
-def weighted_auc(df: DataFrame, label: str, score: str, weight: str | None = None,
-                 group_cols: Sequence[str] = (), name: str = "auc") -> DataFrame:
-    """Weighted AUC per group (one row per group, or one row overall)."""
-    group_cols = list(group_cols)
+def _score_counts(df: DataFrame, label: str, score: str, weight: str | None, group_cols: Sequence) -> DataFrame:
+    """(group..., _s, _wp, _wn): positive and negative weight per distinct score."""
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     y = F.col(label).cast("double")
-    pre = (df.filter(F.col(score).isNotNull())
-             .groupBy(*group_cols, F.col(score).cast("double").alias("_s"))
-             .agg(F.sum(w * y).alias("_wp"), F.sum(w * (1 - y)).alias("_wn")))
+    return (df.filter(F.col(score).isNotNull())
+              .groupBy(*group_cols, F.col(score).cast("double").alias("_s"))
+              .agg(F.sum(w * y).alias("_wp"), F.sum(w * (1 - y)).alias("_wn")))
+
+
+def _auc_of_counts(pre: DataFrame, group_cols: Sequence[str], name: str) -> DataFrame:
     cum = running_sum(pre, group_cols, ["_s"], "_wn", "_below")
     num = F.sum(F.col("_wp") * (F.col("_below") + 0.5 * F.col("_wn")))
     den = F.sum("_wp") * F.sum("_wn")
-    g = cum.groupBy(*group_cols) if group_cols else cum.groupBy()
-    return g.agg(F.try_divide(num, den).alias(name))
+    return cum.groupBy(*group_cols).agg(F.try_divide(num, den).alias(name))
+
+
+def weighted_auc(df: DataFrame, label: str, score: str, weight: str | None = None,
+                 group_cols: Sequence[str] = (), name: str = "auc") -> DataFrame:
+    """Weighted AUC per group (one row per group, or one row overall)."""
+    return _auc_of_counts(_score_counts(df, label, score, weight, group_cols), list(group_cols), name)
 
 
 def fold_auc_table(df: DataFrame, label: str, score: str, weight: str | None,
@@ -41,23 +47,27 @@ def fold_auc_table(df: DataFrame, label: str, score: str, weight: str | None,
     """Validation and train AUC per fold plus their average (O-D27, O-D28).
 
     Without ``model_col`` one score column serves every fold: validation rows
-    of fold f have ``fold == f``, training rows are the others (each row is
-    repeated for the k-1 folds it trains, a bounded fan-out).  With
+    of fold f have ``fold == f``, training rows are the others.  With
     ``model_col`` the frame holds every row scored by every fold model
     (``model_col`` = the model's fold), as cross-validation produces it.
+    Weights are summed per (fold, score) first; only those sums are repeated
+    for the k - 1 folds they train.  Rows without a fold are in no set.
     """
+    valid = F.col(fold_col) == F.col("_mf")
     if model_col is None:
         folds = F.array(*[F.lit(i) for i in range(1, k + 1)])
-        scored = df.select("*", F.explode(folds).alias("_mf"))
+        pre = (_score_counts(df, label, score, weight, [fold_col])
+               .select("*", F.explode(folds).alias("_mf")).withColumn("_valid", valid)
+               .groupBy("_mf", "_valid", "_s").agg(F.sum("_wp").alias("_wp"), F.sum("_wn").alias("_wn")))
     else:
-        scored = df.withColumn("_mf", F.col(model_col))
-    is_valid = F.col(fold_col) == F.col("_mf")
-    valid = weighted_auc(scored.filter(is_valid), label, score, weight, ["_mf"], "Validation_AUC")
-    train = weighted_auc(scored.filter(~is_valid), label, score, weight, ["_mf"], "Train_AUC")
-    per = (valid.join(train, "_mf", "full")
-                .select(F.concat(F.lit("fold_"), F.col("_mf").cast("string")).alias("Fold_Name"),
-                        "Validation_AUC", "Train_AUC"))
-    avg = per.agg(F.lit("fold_AVG").alias("Fold_Name"),
-                  (F.sum("Validation_AUC") / k).alias("Validation_AUC"),
-                  (F.sum("Train_AUC") / k).alias("Train_AUC"))
-    return per.unionByName(avg)
+        scored = df.withColumn("_mf", F.col(model_col)).withColumn("_valid", valid)
+        pre = _score_counts(scored, label, score, weight, ["_mf", "_valid"])
+    auc = _auc_of_counts(pre.filter("_valid IS NOT NULL"), ["_mf", "_valid"], "_auc")
+    # one row per fold and, from the same rows, their sum over all folds
+    both = auc.rollup("_mf").agg(F.grouping("_mf").alias("_all"),
+                                 F.sum(F.when(F.col("_valid"), F.col("_auc"))).alias("_v"),
+                                 F.sum(F.when(~F.col("_valid"), F.col("_auc"))).alias("_t"))
+    n = F.when(F.col("_all") == 1, F.lit(float(k))).otherwise(1.0)
+    fold = F.when(F.col("_all") == 1, "fold_AVG").otherwise(F.concat(F.lit("fold_"), F.col("_mf").cast("string")))
+    return both.select(fold.alias("Fold_Name"), (F.col("_v") / n).alias("Validation_AUC"),
+                       (F.col("_t") / n).alias("Train_AUC"))

@@ -47,6 +47,24 @@ def test_column_agreement(spark):
     assert C.column_differences(["x", "y", "TARGET"], ["y", "x", "z"]) == (["TARGET"], ["z"])
 
 
+def test_fold_auc_table_without_and_with_model_column(spark):
+    data = [(i, i % 3 + 1, float(i % 2), ((i * 7) % 10) / 10) for i in range(30)] + [(99, None, 1.0, 0.0)]
+    df = spark.createDataFrame(data, "i int, fold int, y double, s double")
+    one = {r["Fold_Name"]: r for r in M.fold_auc_table(df, "y", "s", None, k=3).collect()}
+    assert set(one) == {"fold_1", "fold_2", "fold_3", "fold_AVG"}
+    for f in (1, 2, 3):
+        for col, part in (("Validation_AUC", [r for r in data if r[1] == f]),
+                          ("Train_AUC", [r for r in data if r[1] not in (f, None)])):
+            pos, neg = [r[3] for r in part if r[2]], [r[3] for r in part if not r[2]]
+            exp = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+            assert abs(one[f"fold_{f}"][col] - exp) < 1e-12
+    mean = sum(one[f"fold_{f}"]["Train_AUC"] for f in (1, 2, 3)) / 3
+    assert abs(one["fold_AVG"]["Train_AUC"] - mean) < 1e-12
+    scored = df.crossJoin(spark.range(1, 4).select(F.col("id").cast("int").alias("m")))
+    many = {r["Fold_Name"]: r for r in M.fold_auc_table(scored, "y", "s", None, k=3, model_col="m").collect()}
+    assert {k: tuple(r) for k, r in many.items()} == {k: tuple(r) for k, r in one.items()}
+
+
 def test_weighted_auc_matches_pair_count(spark):
     rng = np.random.default_rng(5)
     n = 400
