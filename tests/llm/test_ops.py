@@ -231,6 +231,43 @@ def test_outliers_spare_good_documents(spark):
     assert not (got.base_failed & got.kept).any()
 
 
+def brute_mcd(x, share=0.75, starts=40):
+    """Squared distances from the core of least determinant over random starts, median scaled."""
+    rng, floor, best = np.random.default_rng(3), np.diag(np.square(rules.FLOOR)), None
+
+    def squared(m, c):
+        z = np.linalg.solve(np.linalg.cholesky(c + floor), (x - m).T)
+        return (z * z).sum(0)
+
+    for _ in range(starts):
+        core = x[rng.choice(len(x), 6, replace=False)]
+        for _ in range(100):
+            m, c = core.mean(0), np.cov(core.T, bias=True)
+            d2 = squared(m, c)
+            new = x[d2 <= np.quantile(d2, share, method="inverted_cdf")]
+            if len(new) == len(core) and (new == core).all():
+                break
+            core = new
+        det = np.linalg.slogdet(c + floor)[1]
+        if best is None or det < best[0]:
+            best = det, m, c
+    d2 = squared(*best[1:])
+    return d2 * rules.CHI2_MEDIAN_5 / np.median(d2)
+
+
+def test_outliers_agree_with_brute_force_mcd(spark):
+    docs = documents(spark).withColumn("lang", F.lit("en")).withColumn("source", F.lit("s"))
+    got = rules.robust_outliers(docs).join(labels(spark), "doc_id", "left").toPandas()
+    n, c = got.n_words.clip(lower=1), got.word_chars.clip(lower=1)
+    x = np.column_stack([np.log1p(got.n_words), np.log(c / n), np.sqrt(got.n_symbols / c),
+                         np.sqrt(got.n_dup_lines / n), np.sqrt(got.n_repeat_words / n)])
+    want = ~got.base_failed & (brute_mcd(x) <= rules.CUT)
+    assert (got.kept == want).mean() > 0.99
+    assert abs(got.distance2.median() / rules.CHI2_MEDIAN_5 - 1) < 0.02
+    rest = got[~got.base_failed]
+    assert rest[rest.quality == 0].kept.mean() < 0.05 and rest[rest.quality == 1].kept.mean() > 0.99
+
+
 # --- 9
 
 def brute_fingerprint(t):
