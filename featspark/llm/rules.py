@@ -7,7 +7,11 @@ language and source, estimated by minimum covariance determinant:
 
 * start from medians and quartile ranges;
 * C-steps: rank all documents by distance, re-estimate mean and covariance from
-  the nearest 75 %, a fixed number of times;
+  the nearest 75 %, until no group's determinant moves (50 times at most); there
+  is one start, no determinants of several starts are compared;
+* a group's moments, and its median distance, are averaged with ``prior_rows`` rows'
+  worth of its language's, and those with all rows': a group of few rows is judged
+  much like its language, and this fades as it grows;
 * scale the covariance, up or down, so that the median distance is that of a
   chi-square law.  Only where over half of a group's rows are all but the same
   (copies) does that median say nothing: there the scale stops at ``LEAST_SCALE``.
@@ -18,9 +22,7 @@ the one that rejects under 1 % of the good documents.
 
 All of it is DataFrame work: means and covariances are partial aggregates, the
 75 % limit is a mergeable quantile sketch, so a source with a third of all rows
-is estimated without being gathered.  A (language, source) with fewer than
-``least_rows`` documents is judged with the rest of its language, and these
-with all others if they too are few.
+is estimated without being gathered.
 
 Defined cases: a null text has no words and fails the base rules, as any text
 under 50 words; null lang or source is a group of its own; repeated rows count
@@ -29,7 +31,7 @@ each; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featspark.llm.common import WORD, Scratch, text_of
@@ -44,6 +46,8 @@ STATS = ["x1", "x2", "x3", "x4", "x5"]
 FLOOR = [0.10, 0.02, 0.02, 0.03, 0.07]
 CHI2_MEDIAN_5 = 4.351
 LEAST_SCALE = 0.25
+# C-steps end when no group's log determinant moves by more
+SETTLED = 1e-3
 # figures of other cuts: README
 CUT = 100.0
 
@@ -100,15 +104,21 @@ def _vectors(d: DataFrame) -> DataFrame:
     return d.withColumns({f"x{i + 1}": v for i, v in enumerate(x)})
 
 
-def _groups(d: DataFrame, least_rows: int) -> DataFrame:
-    """Adds g: the group each row is judged with."""
-    n = d.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n")).withColumn("few", F.col("n") < least_rows)
-    rest = n.filter("few").groupBy("lang").agg(F.sum("n").alias("rest")).withColumnRenamed("lang", "_l")
-    n = n.join(rest, n["lang"].eqNullSafe(rest["_l"]), "left")
-    name = F.to_json(F.struct("lang", "source"))
-    g = F.when(~F.col("few"), name).when(F.col("rest") >= least_rows, F.to_json(F.struct("lang"))).otherwise("rest")
-    n = n.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), g.alias("g"))
-    return d.join(n, d["lang"].eqNullSafe(n["_l"]) & d["source"].eqNullSafe(n["_s"])).drop("_l", "_s")
+def _groups(d: DataFrame) -> DataFrame:
+    """Adds g, the (language, source) each row is judged with, and l, its language."""
+    return d.withColumns({"g": F.to_json(F.struct("lang", "source")), "l": F.to_json(F.struct("lang"))})
+
+
+def _shrunk(t: DataFrame, cols: list[str], prior_rows: int) -> DataFrame:
+    """``t`` (g, l, n, cols: one row per group) with each group's values averaged with
+    ``prior_rows`` rows' worth of its language's, and those likewise with all rows'."""
+    by_l, by_all = Window.partitionBy("l"), Window.partitionBy(F.lit(0))
+    t = t.withColumns({"_nl": F.sum("n").over(by_l), "_na": F.sum("n").over(by_all)})
+    t = t.withColumns({f"_{c}{k}": F.sum(F.col("n") * F.col(c)).over(w) / F.col(f"_n{k}")
+                       for c in cols for k, w in (("l", by_l), ("a", by_all))})
+    own, lang = (F.col(n) / (F.col(n) + F.lit(prior_rows)) for n in ("n", "_nl"))
+    return t.select("g", "l", "n", *[
+        (own * F.col(c) + (1 - own) * (lang * F.col(f"_{c}l") + (1 - lang) * F.col(f"_{c}a"))).alias(c) for c in cols])
 
 
 def _pairs() -> list[tuple[int, int]]:
@@ -124,7 +134,9 @@ def _cholesky(params: DataFrame) -> DataFrame:
             p = p.withColumn(f"l{i}{i}", F.sqrt(F.greatest(F.col(f"c{i}{i}"), F.lit(0.0)) + FLOOR[i] ** 2 - dot))
         else:
             p = p.withColumn(f"l{i}{j}", (F.col(f"c{i}{j}") - dot) / F.col(f"l{j}{j}"))
-    return p.select("g", *[f"m{i}" for i in range(5)], *[f"l{i}{j}" for i, j in _pairs()], "scale")
+    logdet = 2 * sum(F.log(F.col(f"l{i}{i}")) for i in range(5))
+    return p.select("g", *[f"m{i}" for i in range(5)], *[f"l{i}{j}" for i, j in _pairs()], "scale",
+                    logdet.alias("logdet"))
 
 
 def _distances(d: DataFrame, params: DataFrame) -> DataFrame:
@@ -137,32 +149,44 @@ def _distances(d: DataFrame, params: DataFrame) -> DataFrame:
         *d.columns, "d2")
 
 
-def _moments(d: DataFrame) -> DataFrame:
+def _moments(d: DataFrame, prior_rows: int) -> DataFrame:
     means = [F.avg(x).alias(f"m{i}") for i, x in enumerate(STATS)]
     covs = [F.covar_pop(STATS[i], STATS[j]).alias(f"c{i}{j}") for i, j in _pairs()]
-    return d.groupBy("g").agg(*means, *covs).withColumn("scale", F.lit(1.0))
+    t = d.groupBy("g", "l").agg(F.count(F.lit(1)).alias("n"), *means, *covs)
+    # shrunk as second moments, as if rows of the language's core had joined the group's
+    t = t.withColumns({f"c{i}{j}": F.col(f"c{i}{j}") + F.col(f"m{i}") * F.col(f"m{j}") for i, j in _pairs()})
+    t = _shrunk(t, [f"m{i}" for i in range(5)] + [f"c{i}{j}" for i, j in _pairs()], prior_rows)
+    t = t.withColumns({f"c{i}{j}": F.col(f"c{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}") for i, j in _pairs()})
+    return t.withColumn("scale", F.lit(1.0))
 
 
-def robust_outliers(docs: DataFrame, cut: float = CUT, steps: int = 3, keep_share: float = 0.75,
-                    least_rows: int = 200) -> DataFrame:
+def robust_outliers(docs: DataFrame, cut: float = CUT, steps: int = 50, keep_share: float = 0.75,
+                    prior_rows: int = 100) -> DataFrame:
     """One row per row of ``docs``: doc_id, the counts, base_failed, distance2, kept."""
     scratch = Scratch(docs.sparkSession, "rules")
     counts = scratch.write("counts", text_counts(docs))
     d = counts.withColumn("base_failed", base_failed())
-    d = scratch.write("vectors", _groups(_vectors(d), least_rows))
+    d = scratch.write("vectors", _groups(_vectors(d)))
 
     q = [F.percentile_approx(x, [0.25, 0.5, 0.75], 2000).alias(x) for x in STATS]
-    start = d.groupBy("g").agg(*q)
-    start = start.select("g", *[F.col(x)[1].alias(f"m{i}") for i, x in enumerate(STATS)],
+    start = d.groupBy("g", "l").agg(F.count(F.lit(1)).alias("n"), *q)
+    start = start.select("g", "l", "n", *[F.col(x)[1].alias(f"m{i}") for i, x in enumerate(STATS)],
                          *[(F.pow((F.col(STATS[i])[2] - F.col(STATS[i])[0]) / 1.349, F.lit(2.0)) if i == j else F.lit(0.0))
-                           .alias(f"c{i}{j}") for i, j in _pairs()], F.lit(1.0).alias("scale"))
+                           .alias(f"c{i}{j}") for i, j in _pairs()])
+    start = _shrunk(start, start.columns[3:], prior_rows).withColumn("scale", F.lit(1.0))
     params = scratch.write("params0", _cholesky(start))
     for step in range(1, steps + 1):
         near = _distances(d, params)
         limit = near.groupBy("g").agg(F.percentile_approx("d2", keep_share, 2000).alias("limit"))
         core = near.join(limit, "g").filter("d2 <= limit")
-        params = scratch.write(f"params{step}", _cholesky(_moments(core)))
-    middle = _distances(d, params).groupBy("g").agg(F.percentile_approx("d2", 0.5, 2000).alias("middle"))
+        last, params = params, scratch.write(f"params{step}", _cholesky(_moments(core, prior_rows)))
+        moved = params.join(last.select("g", F.col("logdet").alias("before")), "g").agg(
+            F.max(F.abs(F.col("logdet") - F.col("before")))).first()[0]
+        if moved is None or moved < SETTLED:
+            break
+    middle = _distances(d, params).groupBy("g", "l").agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("d2", 0.5, 2000).alias("middle"))
+    middle = _shrunk(middle, ["middle"], prior_rows).select("g", "middle")
     scaled = params.drop("scale").join(middle, "g").withColumn(
         "scale", F.greatest(F.lit(LEAST_SCALE), F.col("middle") / CHI2_MEDIAN_5)).drop("middle")
     far = _distances(d, scratch.write("params", scaled))

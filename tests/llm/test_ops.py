@@ -268,6 +268,33 @@ def test_outliers_agree_with_brute_force_mcd(spark):
     assert rest[rest.quality == 0].kept.mean() < 0.05 and rest[rest.quality == 1].kept.mean() > 0.99
 
 
+def test_small_groups_fade_into_their_language(spark):
+    rows = [("a", "x", 10, 1.0), ("b", "x", 300, 5.0), ("c", "x", 90, 9.0), ("d", "y", 50, 2.0)]
+    t = spark.createDataFrame(rows, "g string, l string, n long, v double")
+    n, v = np.array([r[2] for r in rows]), np.array([r[3] for r in rows])
+    everyone, want = (n * v).sum() / n.sum(), {}
+    for g, l, k, x in rows:
+        inside = np.array([r[1] == l for r in rows])
+        size = n[inside].sum()
+        lang = (size * ((n * v)[inside].sum() / size) + 100 * everyone) / (size + 100)
+        want[g] = (k * x + 100 * lang) / (k + 100)
+    got = {r.g: r.v for r in rules._shrunk(t, ["v"], 100).collect()}
+    assert got == pytest.approx(want)
+
+
+def test_c_steps_settle_and_no_size_is_a_switch(spark):
+    docs = documents(spark)
+    kept = [{r.doc_id: r.kept for r in rules.robust_outliers(docs, steps=k).select("doc_id", "kept").collect()}
+            for k in (50, 80)]
+    assert kept[0] == kept[1]
+    # one row more or less of a group's 200 changes next to nothing
+    base = docs.filter("lang = 'en'").withColumn("source", F.lit("s")).orderBy("doc_id").limit(200)
+    rest = docs.filter("lang = 'en'").withColumn("source", F.lit("t")).join(base.select("doc_id"), "doc_id", "left_anti")
+    d2 = [{r.doc_id: r.distance2 for r in rules.robust_outliers(
+        base.orderBy("doc_id").limit(k).unionByName(rest.select(base.columns))).collect()} for k in (199, 200)]
+    assert np.median([abs(d2[1][i] / d2[0][i] - 1) for i in d2[0] if d2[0][i]]) < 0.05
+
+
 # --- 9
 
 def brute_fingerprint(t):
