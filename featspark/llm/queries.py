@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featspark.llm import exact_dedup as exact
-from featspark.llm import mixing, packing, pii, quality, rules, sharding, simhash, suffix, toxicity
+from featspark.llm import (mixing, packing, pii, prefix_trie, quality, rules, runs, sharding, simhash, suffix, syncmers,
+                           toxicity)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +71,28 @@ def op10_deep_shallow_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_branching_tandem_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = runs.periodic_runs(runs.repeated_tails(_table(spark, sf_dir, "documents")))
+    # exact comparison of length / period by cross products
+    best = F.expr("""array_sort(runs, (x, y) -> CASE
+        WHEN x.length * y.period > y.length * x.period THEN -1 WHEN x.length * y.period < y.length * x.period THEN 1
+        WHEN x.start < y.start THEN -1 WHEN x.start > y.start THEN 1
+        WHEN x.period < y.period THEN -1 WHEN x.period > y.period THEN 1 ELSE 0 END)""")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')")
+    return d.withColumn("best", F.get(best, F.lit(0))).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def op13_van_emde_boas_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt_turns(_table(spark, sf_dir, "conversations")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -78,4 +101,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_ordinal_quality, op2_fair_queue_mix, op3_weak_supervision_pii, op4_conflict_best_fit,
     op5_splitter_shards, op6_weak_supervision_toxicity, op7_chunk_recipe_dedup, op8_robust_outliers,
-    op9_gray_simhash, op10_deep_shallow_suffixes, pipeline)}
+    op9_gray_simhash, op10_deep_shallow_suffixes, op11_branching_tandem_runs, op12_closed_syncmers,
+    op13_van_emde_boas_trie, pipeline)}
