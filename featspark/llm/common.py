@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_LOWER_TABLE = {ord(c): c.lower() for c in _UPPER}
 
 
 def text_of(col: str | Column = "text") -> Column:
@@ -38,7 +37,8 @@ def word_count(col: str | Column = "text") -> Column:
 
 def lower_ascii(text: str) -> str:
     """A-Z to a-z, every other character as it is."""
-    return text.lower() if text.isascii() else text.translate(_LOWER_TABLE)
+    # bytes.lower() changes A-Z only, and no byte of a longer UTF-8 character is one of these
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
 
 def lower_ascii_col(col: str | Column = "text") -> Column:

@@ -29,9 +29,8 @@ an empty result.
 
 from __future__ import annotations
 
-import math
 import re
-from collections import Counter
+import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -251,41 +250,73 @@ def score_documents(docs: DataFrame, model: ToxicityModel, bits: int = BITS, id_
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+#: Weights are summed as whole multiples of this, so that no order of words changes a score.
+UNIT = 2.0 ** -36
+#: Bytes of remembered words after which a scorer starts anew.
+REMEMBER = 32 << 20
+
+
+class _Words(dict):
+    """Word -> number; what a word brings to a score stands in arrays at that number:
+    its own weight and the numbers of its weighted beginnings (0: none)."""
+
+    def __init__(self, model: ToxicityModel, bits: int):
+        super().__init__()
+        at = np.flatnonzero(model.weights)
+        self.used = dict(zip(at.tolist(), np.rint(model.weights[at] / UNIT).astype(np.int64).tolist()))
+        self.lexicon, self.mask = {*INSULTS, *model.lexicon}, (1 << bits) - 1
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.bytes, self.begin, self.begin_weight, self.entries = 0, {}, [0], {}
+        self.own, self.first, self.second = (np.zeros(1 << 12, np.int64) for _ in range(3))
+
+    def weight(self, feature: str) -> int:
+        return self.used.get(zlib.crc32(feature.encode("utf-8", "surrogatepass")) & self.mask, 0)
+
+    def beginning(self, feature: str) -> int:
+        n = self.begin.get(feature)
+        if n is None:
+            w = self.weight(feature)
+            n = self.begin[feature] = len(self.begin_weight) if w else 0
+            if w:
+                self.begin_weight.append(w)
+        return n
+
+    def __missing__(self, word: str) -> int:
+        n = len(self)
+        if n == len(self.own):
+            self.own, self.first, self.second = (np.concatenate([a, np.zeros_like(a)])
+                                                 for a in (self.own, self.first, self.second))
+        self[word] = n
+        self.own[n] = self.weight(word)
+        features = beginnings({word}) - {word}
+        self.first[n], self.second[n] = (*(self.beginning(f) for f in sorted(features)), 0, 0)[:2]
+        found = [f for f in (*features, word) if f in self.lexicon]
+        if found:
+            self.entries[word] = found
+        self.bytes += 400 + 4 * len(word)
+        return n
+
+
 def text_scorer(model: ToxicityModel, bits: int) -> Callable[[list[str]], list[float]]:
-    """Texts -> scores; what a word brings (with its beginnings) is remembered."""
-    w, bias, lexicon = model.weights, model.bias, {*INSULTS, *model.lexicon}
-    used = {int(i): float(w[i]) for i in np.flatnonzero(w)}
-    slot, parts = Hasher(bits), {}
-    one, two = (used.get(slot(x), 0.0) for x in ("+1", "+2"))
-
-    def weigh(x: str) -> float:
-        return used.get(slot(x), 0.0)
-
-    def brings(word: str) -> tuple:
-        """(own weight, weighted beginnings, lexicon entries) of a word."""
-        if len(parts) > 100_000:
-            parts.clear()
-        f = beginnings({word})
-        begin = tuple((x, weigh(x)) for x in sorted(f - {word}) if weigh(x))
-        got = parts[word] = (weigh(word), begin, [x for x in f if x in lexicon])
-        return got
+    """Texts -> scores.  Words are looked up once per text, their weights summed by array."""
+    known = _Words(model, bits)
+    one, two = known.weight("+1") * UNIT, known.weight("+2") * UNIT
 
     def score(texts: list[str]) -> list[float]:
-        out = []
+        if known.bytes > REMEMBER:
+            known.forget()
+        z = []
         for t in texts:
             words = tokens(t)
-            own, begin, hits = [], set(), set()
-            for word in words:
-                w, b, entries = parts.get(word) or brings(word)
-                own.append(w)
-                if b:
-                    begin.update(b)
-                if entries:
-                    hits.update(entries)
-            z = bias + one * (len(hits) > 0) + two * (len(hits) > 1)
-            z += (math.fsum(own) + math.fsum(w for _, w in begin)) / max(1, len(words)) ** 0.5
-            out.append(float(sigmoid(z)))
-        return out
+            at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+            begin = np.unique(np.concatenate([known.first[at], known.second[at]]))
+            total = int(known.own[at].sum()) + sum(map(known.begin_weight.__getitem__, begin.tolist()))
+            hits = {f for w in known.entries.keys() & words for f in known.entries[w]}
+            z.append(model.bias + one * (len(hits) > 0) + two * (len(hits) > 1) + total * UNIT / max(1, len(words)) ** 0.5)
+        return sigmoid(np.array(z, np.float64)).tolist()
 
     return score
 

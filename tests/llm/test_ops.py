@@ -72,6 +72,32 @@ def test_toxicity_held_out(spark):
     assert ((test.predicted == 1) & (test.toxic == 0)).sum() <= 1
 
 
+def test_toxicity_score_from_the_weights(spark):
+    """Scores recomputed feature by feature; remembered words are dropped again and again on the way."""
+    rng, texts = np.random.default_rng(9), [r.text or "" for r in documents(spark).select("text").limit(300).collect()]
+    texts += ["", "ÄÖ Straße İstanbul ÉTÉ", "STUPID stupid stupidity you are stupid", "x" * 10_000]
+    weights = np.zeros(1 << 12)
+    weights[rng.choice(1 << 12, 900, replace=False)] = rng.normal(size=900)
+    model = toxicity.ToxicityModel(weights, -0.3, ["^stup", "clown"], None)
+    slot = toxicity.Hasher(12)
+
+    def brute(t):
+        words = toxicity.tokens(t)
+        f = toxicity.beginnings(words)
+        hits = len(f & {*toxicity.INSULTS, *model.lexicon})
+        z = model.bias + sum(weights[slot(x)] for x in f) / max(1, len(words)) ** 0.5
+        return 1 / (1 + np.exp(-(z + weights[slot("+1")] * (hits > 0) + weights[slot("+2")] * (hits > 1))))
+
+    score = toxicity.text_scorer(model, 12)
+    assert score(texts) == pytest.approx([brute(t) for t in texts], abs=1e-8)
+    before, toxicity.REMEMBER = toxicity.REMEMBER, 5_000
+    try:
+        assert [score([t])[0] for t in texts] == pytest.approx([brute(t) for t in texts], abs=1e-8)
+    finally:
+        toxicity.REMEMBER = before
+    assert score(texts) == score([" ".join(reversed(t.split())) for t in texts])
+
+
 def test_label_model_discounts_repeated_voters():
     rng = np.random.default_rng(1)
     truth = rng.random(2000) < 0.3
@@ -283,10 +309,11 @@ def test_small_groups_fade_into_their_language(spark):
 
 
 def test_c_steps_settle_and_no_size_is_a_switch(spark):
-    docs = documents(spark)
-    kept = [{r.doc_id: r.kept for r in rules.robust_outliers(docs, steps=k).select("doc_id", "kept").collect()}
-            for k in (50, 80)]
+    docs, steps = documents(spark), []
+    kept = [sorted(map(tuple, rules.robust_outliers(d, report=steps).select("doc_id", "kept").collect()))
+            for d in (docs, docs.repartition(9))]
     assert kept[0] == kept[1]
+    assert steps[-1][1] == 0 and len(steps) < 40
     # one row more or less of a group's 200 changes next to nothing
     base = docs.filter("lang = 'en'").withColumn("source", F.lit("s")).orderBy("doc_id").limit(200)
     rest = docs.filter("lang = 'en'").withColumn("source", F.lit("t")).join(base.select("doc_id"), "doc_id", "left_anti")
@@ -295,6 +322,85 @@ def test_c_steps_settle_and_no_size_is_a_switch(spark):
     assert np.median([abs(d2[1][i] / d2[0][i] - 1) for i in d2[0] if d2[0][i]]) < 0.05
 
 
+def mcd_by_hand(groups, prior=100, share=0.75):
+    """The operator's estimates in numpy: the core by bins of log distance, shrinkage, per-group stopping."""
+    names = sorted(groups)
+    lang = np.array([k[0] for k in names])
+    n = np.array([len(groups[k]) for k in names], float)
+    floor = np.diag(np.square(rules.FLOOR))
+
+    def shrunk(v):
+        own = n / (n + prior)
+        everyone = (n[:, None] * v).sum(0) / n.sum()
+        out = np.empty_like(v)
+        for i, l in enumerate(lang):
+            m = lang == l
+            part = n[m].sum() / (n[m].sum() + prior)
+            of_lang = part * (n[m][:, None] * v[m]).sum(0) / n[m].sum() + (1 - part) * everyone
+            out[i] = own[i] * v[i] + (1 - own[i]) * of_lang
+        return out
+
+    def at(values, q, width):
+        b = np.floor(values / width)
+        u, c = np.unique(b, return_counts=True)
+        k = np.searchsorted(np.cumsum(c), q * len(b))
+        return u[k], (q * len(b) - np.cumsum(c)[k] + c[k]) / c[k]
+
+    def quantile(values, q, width):
+        return sum(at(values, q, width)) * width
+
+    def squared(x, m, c):
+        z = np.linalg.solve(np.linalg.cholesky(c + floor), (x - m).T)
+        return (z * z).sum(0)
+
+    start = []
+    for k in names:
+        q = np.array([[quantile(x, p, rules.WIDTH) for p in (0.25, 0.5, 0.75)] for x in groups[k].T])
+        start.append(np.concatenate([q[:, 1], np.diag(((q[:, 2] - q[:, 0]) / 1.349) ** 2).ravel()]))
+    t = shrunk(np.array(start))
+    now, best, on = [(r[:5], r[5:].reshape(5, 5)) for r in t], [np.inf] * len(names), [True] * len(names)
+    while any(on):
+        rows = []
+        for k, (m, c) in zip(names, now):
+            x = groups[k]
+            b = np.log(np.maximum(squared(x, m, c), 1e-12))
+            last, part = at(b, share, 1 / rules.BINS)
+            bins = np.floor(b * rules.BINS)
+            w = np.where(bins < last, 1.0, np.where(bins == last, part, 0.0))
+            mean = (w[:, None] * x).sum(0) / w.sum()
+            rows.append(np.concatenate([mean, ((w[:, None] * x).T @ x / w.sum()).ravel()]))
+        for i, r in enumerate(shrunk(np.array(rows))):
+            c = r[5:].reshape(5, 5) - np.outer(r[:5], r[:5])
+            det = np.linalg.slogdet(c + floor)[1]
+            on[i] = on[i] and det < best[i] - rules.SETTLED
+            if on[i]:
+                best[i], now[i] = det, (r[:5], c)
+    d2 = {k: squared(groups[k], *now[i]) for i, k in enumerate(names)}
+    middle = shrunk(np.array([[np.exp(quantile(np.log(np.maximum(d2[k], 1e-12)), 0.5, 1 / rules.BINS))] for k in names]))
+    return {k: d2[k] / max(rules.LEAST_SCALE, middle[i][0] / rules.CHI2_MEDIAN_5) for i, k in enumerate(names)}
+
+
+def test_outliers_over_several_groups_against_numpy(spark, monkeypatch):
+    # one group with most rows, many small ones; the second run takes the way for many groups
+    docs = documents(spark).withColumn("source", F.when(F.col("doc_id") % 3 > 0, "hot").otherwise(F.col("source")))
+    runs = [rules.robust_outliers(docs).join(docs.select("doc_id", "lang", "source"), "doc_id").toPandas()]
+    monkeypatch.setattr(rules, "GROUPS", 5)
+    runs.append(rules.robust_outliers(docs).join(docs.select("doc_id", "lang", "source"), "doc_id").toPandas())
+    for got in runs:
+        got = got.sort_values("doc_id")
+        n, c = got.n_words.clip(lower=1), got.word_chars.clip(lower=1)
+        x = np.column_stack([np.log1p(got.n_words), np.log(c / n), np.sqrt(got.n_symbols / c),
+                             np.sqrt(got.n_dup_lines / n), np.sqrt(got.n_repeat_words / n)])
+        key = list(zip(got.lang, got.source))
+        groups = {k: x[[y == k for y in key]] for k in set(key)}
+        want = mcd_by_hand(groups)
+        for k in groups:
+            have = got.distance2[[y == k for y in key]].to_numpy()
+            assert np.median(np.abs(have / np.maximum(want[k], 1e-9) - 1)) < 0.02, k
+        kept = ~got.base_failed & np.array([want[k][sum(y == k for y in key[:i])] <= rules.CUT for i, k in enumerate(key)])
+        assert (got.kept == kept).mean() > 0.998
+
+
 # --- 9
 
 def brute_fingerprint(t):
