@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -38,17 +38,33 @@ def assert_unique_key(df: DataFrame, key: str | Sequence[str], what: str = "") -
                                 "a left join would add rows")
 
 
+def guarded(df: DataFrame, key: str, what: str = "") -> DataFrame:
+    """``df`` that fails when it runs if a key occurs more than once (O-C8).
+
+    The rows of a key are counted by a window over the key, on the partitioning
+    and order that a join on the key needs anyway, so the guard is part of the join's
+    own job.  Rows without a key match nothing and may repeat.
+    """
+    n = F.count(F.lit(1)).over(Window.partitionBy(key))
+    fail = F.raise_error(F.concat(F.lit(f"duplicate key {key} = "), F.col(key).cast("string"),
+                                  F.lit(f" in {what or 'right side'}: a left join would add rows"))).cast("boolean")
+    return df.withColumn("_rows", n).filter(
+        F.when((F.col("_rows") == 1) | F.col(key).isNull(), F.lit(True)).otherwise(fail)).drop("_rows")
+
+
 def attach(spine: DataFrame, frames: Sequence[DataFrame], key: str,
-           verify: bool = True) -> DataFrame:
+           verify: bool | str = True) -> DataFrame:
     """Left-join feature frames to the key spine; unmatched -> NULL (O-C1/C2/C3).
 
-    With ``verify`` each frame's key is checked for uniqueness first, so the
-    spine keeps its row count (O-C8).  Frames built by ``groupBy(key)`` are
-    unique by construction and may skip the check.
+    The spine keeps its row count (O-C8): with ``verify`` each frame's key is checked
+    for uniqueness at once, by an aggregate of its own; with ``verify="run"`` the
+    frames are ``guarded`` and the job that reads the result fails instead.
     """
     out = spine
     for i, f in enumerate(frames):
-        if verify:
+        if verify == "run":
+            f = guarded(f, key, f"feature frame {i}")
+        elif verify:
             assert_unique_key(f, key, f"feature frame {i}")
         out = out.join(f, on=key, how="left")
     return out

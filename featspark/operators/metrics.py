@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featspark.operators.ranking import running_sum
@@ -28,7 +28,8 @@ def _score_counts(df: DataFrame, label: str, score: str, weight: str | None, gro
               .agg(F.sum(w * y).alias("_wp"), F.sum(w * (1 - y)).alias("_wn")))
 
 
-def _auc_of_counts(pre: DataFrame, group_cols: Sequence[str], name: str) -> DataFrame:
+def auc_of_counts(pre: DataFrame, group_cols: Sequence[str], name: str) -> DataFrame:
+    """Weighted AUC per group from (group..., _s, _wp, _wn), one row per distinct score."""
     cum = running_sum(pre, group_cols, ["_s"], "_wn", "_below")
     num = F.sum(F.col("_wp") * (F.col("_below") + 0.5 * F.col("_wn")))
     den = F.sum("_wp") * F.sum("_wn")
@@ -38,7 +39,7 @@ def _auc_of_counts(pre: DataFrame, group_cols: Sequence[str], name: str) -> Data
 def weighted_auc(df: DataFrame, label: str, score: str, weight: str | None = None,
                  group_cols: Sequence[str] = (), name: str = "auc") -> DataFrame:
     """Weighted AUC per group (one row per group, or one row overall)."""
-    return _auc_of_counts(_score_counts(df, label, score, weight, group_cols), list(group_cols), name)
+    return auc_of_counts(_score_counts(df, label, score, weight, group_cols), list(group_cols), name)
 
 
 def fold_auc_table(df: DataFrame, label: str, score: str, weight: str | None,
@@ -62,7 +63,7 @@ def fold_auc_table(df: DataFrame, label: str, score: str, weight: str | None,
     else:
         scored = df.withColumn("_mf", F.col(model_col)).withColumn("_valid", valid)
         pre = _score_counts(scored, label, score, weight, ["_mf", "_valid"])
-    auc = _auc_of_counts(pre.filter("_valid IS NOT NULL"), ["_mf", "_valid"], "_auc")
+    auc = auc_of_counts(pre.filter("_valid IS NOT NULL"), ["_mf", "_valid"], "_auc")
     # one row per fold and, from the same rows, their sum over all folds
     both = auc.rollup("_mf").agg(F.grouping("_mf").alias("_all"),
                                  F.sum(F.when(F.col("_valid"), F.col("_auc"))).alias("_v"),
@@ -71,3 +72,18 @@ def fold_auc_table(df: DataFrame, label: str, score: str, weight: str | None,
     fold = F.when(F.col("_all") == 1, "fold_AVG").otherwise(F.concat(F.lit("fold_"), F.col("_mf").cast("string")))
     return both.select(fold.alias("Fold_Name"), (F.col("_v") / n).alias("Validation_AUC"),
                        (F.col("_t") / n).alias("Train_AUC"))
+
+
+def log_metrics(table: DataFrame, path: str, run: str) -> None:
+    """Add the rows of one run to the metric log at ``path`` (O-A7).
+
+    The log is partitioned by run and only this run's partition is replaced, when
+    the job commits: a run that is written again, or whose tasks were retried, is
+    there once, and other runs are not touched.
+    """
+    (table.withColumn("run", F.lit(run)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path))
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("basePath", path).parquet(path).withColumn("run", F.col("run").cast("string"))

@@ -10,14 +10,13 @@ per-iteration columns, no driver-side frame).
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featspark.operators.joins import rows_without_match, union_with_origin
-from featspark.operators.model import fit_features, fit_gbt, predict_proba
-from featspark.operators.split import subsample
+from featspark.operators.model import fit_features, fit_gbt, predict_many
+from featspark.operators.split import resample_cuts, subsample
 from featspark.session import materialize
 
 
@@ -48,14 +47,13 @@ def shift_weights(train: DataFrame, test: DataFrame, key: str, features: Sequenc
     stacked = union_with_origin(train.select(key, *features), test.select(key, *features),
                                 "is_test")
     prep = fit_features(stacked, features)
-    # every fit and scoring pass reads the assembled rows: cut their lineage
+    # every fit and the scoring pass read the assembled rows: cut their lineage
     x = materialize(prep.transform(stacked).select(key, "is_test", "features"))
-    x_train = x.filter(F.col("is_test") == 0)
-    preds = []
-    for i in range(n_iter):
-        sample = subsample(x, key, fraction, i, seed)
-        m = fit_gbt(sample.select("is_test", "features"), "is_test", None, params)
-        preds.append(predict_proba(m, x_train, "p_test", keep=[key]))
-    w = odds_weights(reduce(DataFrame.unionByName, preds), key)
+    cuts = resample_cuts(x, key, fraction, n_iter, seed)
+    models = [fit_gbt(subsample(x, key, i, cuts, seed).select("is_test", "features"), "is_test", None, params)
+              for i in range(n_iter)]
+    # all models on one scan; long form, as odds_weights takes it
+    scored = predict_many(models, x.filter(F.col("is_test") == 0), "ps")
+    w = odds_weights(scored.select(key, F.explode("ps").alias("p_test")), key)
     check_all_weighted(train, w, key)
     return w

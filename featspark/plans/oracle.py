@@ -158,6 +158,18 @@ def client_credit_gap():
     return fin(_gap_sql(), [("client_id", "i")] + GAP_COLS)
 
 
+def credit_gap_rows():
+    w = "PARTITION BY client_id ORDER BY days_credit DESC NULLS LAST, credit_id DESC"
+    inner = f"""SELECT *, AVG(gap) OVER (PARTITION BY client_id) AS "Avg_Time_Btwn_Credit",
+      STDDEV_SAMP(gap) OVER (PARTITION BY client_id) AS "SDev_Time_Btwn_Cred" FROM (
+      SELECT *, days_credit - next_value AS gap FROM (
+        SELECT client_id, credit_id, days_credit, LEAD(days_credit) OVER ({w}) AS next_value,
+          CAST(ROW_NUMBER() OVER ({w}) = COUNT(*) OVER (PARTITION BY client_id) AS INTEGER) AS first_record
+        FROM ({BUREAU}) b) r) g"""
+    return fin(inner, [(n, "i") for n in ("client_id", "credit_id", "days_credit", "next_value", "first_record", "gap")]
+               + GAP_COLS)
+
+
 def _filtered_parts():
     conds = {"Bureau_Past_Credit_Count": "days_credit < -365",
              "Bureau_Current_Credit_Count": "days_credit >= -365",
@@ -287,7 +299,7 @@ def affordability_block():
     return fin(inner, cols)
 
 
-def pair_ratios():
+def _ratio_sql():
     sel, cols = [], [("client_id", "i")]
     for a in APP_RATIO_COLS:
         for b in APP_RATIO_COLS:
@@ -295,7 +307,11 @@ def pair_ratios():
                 n = f"{a}_{b}_ratio_application"
                 sel.append(f"{div(a, b)} AS {q(n)}")
                 cols.append((n, "d"))
-    return fin(f"SELECT client_id, {', '.join(sel)} FROM ({APP_WIDE}) a", cols)
+    return f"SELECT client_id, {', '.join(sel)} FROM ({APP_WIDE}) a", cols
+
+
+def pair_ratios():
+    return fin(*_ratio_sql())
 
 
 def row_null_and_flag_counts():
@@ -502,9 +518,6 @@ def missing_counts():
 
 # ---- splits, metrics ----------------------------------------------------------
 
-RANGE = 2 ** 32
-
-
 def hsql(purpose: str, key: str, seed: str) -> str:
     """Number in [0, 2^32) from the md5 of purpose, key and seeds."""
     return f"('0x' || substr(md5('{purpose}:' || {key} || ':' || {seed}), 1, 8))::BIGINT"
@@ -546,6 +559,42 @@ SELECT 'fold_AVG', SUM(Validation_AUC) / 5, SUM(Train_AUC) / 5 FROM per"""
     return fin(inner, [("Fold_Name", "s"), ("Validation_AUC", "d"), ("Train_AUC", "d")])
 
 
+def metric_log():
+    """Two runs, the first written twice: each is there once."""
+    one = weighted_auc()
+    runs = " UNION ALL ".join(f"SELECT '{r}' AS run, * FROM ({one}) t" for r in ("first", "second"))
+    return f"SELECT run, Fold_Name, Validation_AUC, Train_AUC FROM ({runs}) u"
+
+
+def csv_inferred():
+    inner = f"""SELECT client_id, c_nationkey, CASE WHEN client_id % 9 = 0 THEN '' WHEN client_id % 11 <> 0
+      THEN c_mktsegment END AS segment, CASE WHEN client_id % 4 <> 0 THEN c_acctbal END AS balance,
+      CASE WHEN client_id % 6 <> 0 THEN c_nationkey % 2 = 0 END AS even, CAST(client_id % 5 AS BIGINT) AS step
+      FROM ({APP}) a"""
+    return fin(inner, [("client_id", "i"), ("c_nationkey", "i"), ("segment", "s"), ("balance", "d"), ("even", "s"),
+                       ("step", "i")])
+
+
+def model_reload():
+    return fin(f"SELECT client_id, 1 AS same, 1 AS in_range FROM ({APP}) a WHERE is_test",
+               [("client_id", "i"), ("same", "i"), ("in_range", "i")])
+
+
+def corr_all():
+    """Every pair of columns of the ratio table, over the rows where both are there."""
+    src, cols = _ratio_sql()
+    cols = [n for n, _ in cols[1:]]
+    long = " UNION ALL ".join(f"SELECT client_id, '{c}' AS name, {q(c)} AS x FROM r WHERE {q(c)} IS NOT NULL" for c in cols)
+    names = " UNION ALL ".join(f"SELECT '{c}' AS name" for c in cols)
+    flat = " AND ".join(f"stddev_pop({t}.x) > 1e-6 * sqrt(avg({t}.x * {t}.x))" for t in "ab")
+    inner = f"""WITH r AS ({src}), l AS ({long}), n AS ({names}),
+      p AS (SELECT a.name AS var1, b.name AS var2, COUNT(*) AS n, CASE WHEN {flat} THEN corr(a.x, b.x) END AS c
+            FROM l a JOIN l b USING (client_id) GROUP BY a.name, b.name)
+      SELECT n1.name AS var1, n2.name AS var2, COALESCE(p.n, 0) AS n_both, p.c AS corr
+      FROM n n1 CROSS JOIN n n2 LEFT JOIN p ON p.var1 = n1.name AND p.var2 = n2.name"""
+    return fin(inner, [("var1", "s"), ("var2", "s"), ("n_both", "i"), ("corr", "d")])
+
+
 def density_odds():
     inner = f"""
 SELECT client_id, AVG(p) / NULLIF(1 - AVG(p), 0) AS Weights
@@ -608,8 +657,8 @@ def csv_round_trip():
 
 
 def holdout_split():
-    inner = (f"SELECT client_id, CASE WHEN CAST({hsql('holdout', 'client_id', '42')} AS DOUBLE) / {RANGE}.0 < 0.33 "
-             f"THEN 1 ELSE 0 END AS holdout FROM ({APP_WIDE}) a WHERE NOT is_test")
+    inner = (f"SELECT client_id, CAST(row_number() OVER (ORDER BY {hsql('holdout', 'client_id', '42')}, client_id) "
+             f"<= ceil(count(*) OVER () * CAST(0.33 AS DOUBLE)) AS INTEGER) AS holdout FROM ({APP_WIDE}) a WHERE NOT is_test")
     return fin(inner, [("client_id", "i"), ("holdout", "i")])
 
 
@@ -617,8 +666,9 @@ _RESAMPLE = "'7:' || r.i"
 
 
 def bootstrap_samples():
-    inner = (f"SELECT r.i AS iteration, client_id FROM ({APP}) a, range(15) r(i) "
-             f"WHERE CAST({hsql('resample', 'client_id', _RESAMPLE)} AS DOUBLE) / {RANGE}.0 < 0.3")
+    inner = (f"SELECT r.i AS iteration, client_id FROM ({APP}) a, range(15) r(i) QUALIFY row_number() OVER "
+             f"(PARTITION BY r.i ORDER BY {hsql('resample', 'client_id', _RESAMPLE)}, client_id) "
+             f"<= round_even(count(*) OVER (PARTITION BY r.i) * CAST(0.3 AS DOUBLE), 0)")
     return fin(inner, [("iteration", "i"), ("client_id", "i")])
 
 
@@ -665,7 +715,8 @@ def _app_feature_parts():
     return aff_cols + pr_cols + fl_cols + sc_cols, sql
 
 
-def client_feature_table():
+def feature_parts():
+    """(columns, SQL by client_id) of the feature families built from single tables."""
     parts = [_app_feature_parts()]
     cc, csql = _cat_count_parts()
     bcols = _basic_stats_cols(["o_totalprice", "days_credit"], "_bureau",
@@ -687,11 +738,15 @@ def client_feature_table():
     mcols, msql = _mode_parts()
     parts.append((mcols, msql))
     parts.append(([("Ever_DPD_Count_POS_CASH", "i")], _ever_late_sql()))
-    sel, joins, cols = [], [], [("client_id", "i")]
+    return parts
+
+
+def attached(parts, table: str, key: str) -> tuple[list[tuple[str, str]], str, str]:
+    """(columns, select list, left joins) of ``parts`` attached to ``table``.``key``."""
+    sel, joins, cols = [], [], []
     for i, (pcols, psql) in enumerate(parts):
         pc = [c for c in pcols if c[0] != "client_id"]
         sel += [f"f{i}.{q(n)}" for n, _ in pc]
         cols += pc
-        joins.append(f"LEFT JOIN ({psql}) f{i} ON c.c_custkey = f{i}.client_id")
-    inner = f"SELECT c.c_custkey AS client_id, {', '.join(sel)} FROM customer c {' '.join(joins)}"
-    return fin(inner, cols)
+        joins.append(f"LEFT JOIN ({psql}) f{i} ON {table}.{key} = f{i}.client_id")
+    return cols, ", ".join(sel), " ".join(joins)

@@ -15,15 +15,12 @@ from featspark.operators import agg as A
 from featspark.operators import joins as J
 from featspark.operators import pivot as P
 from featspark.operators import windows as W
-from featspark.operators.encode import fit_label_codes, label_encode
+from featspark.plans import sections as SE
 from featspark.plans.common import finalize
 from featspark.sources import roles as R
 
 KEY = "client_id"
 
-# Value columns of the two-level instalment statistics (fixed list).
-INST_COLS = ["amt_due", "amt_paid", "payment_diff", "cnt_units", "days_late",
-             "l_linenumber", "status"]
 BUREAU_NUM = ["o_totalprice", "days_credit"]
 BUREAU_CAT = ["o_orderstatus", "o_orderpriority"]
 
@@ -32,13 +29,6 @@ def spine(spark: SparkSession, d: str) -> DataFrame:
     return R.application(spark, d).select(KEY)
 
 
-def installments_coded(spark: SparkSession, d: str) -> DataFrame:
-    """Instalments with derived columns and strings label-encoded (O-B8, O-I5)."""
-    inst = R.installments(spark, d).withColumn(
-        "payment_diff", F.col("amt_due") - F.col("amt_paid"))
-    return label_encode(inst, fit_label_codes(inst, ["status"]), ["status"])
-
-
 # ---- per-client statistics -------------------------------------------------
 
 def bureau_basic_stats_frame(spark, d):
@@ -53,8 +43,8 @@ def client_basic_stats(spark, d):
 
 def bureau_category_frame(spark, d):
     b = R.bureau(spark, d)
-    counts = P.category_counts(b, KEY, BUREAU_CAT, "_bureau")
-    return A.record_count(b, KEY, "bureau_count").join(counts, KEY)
+    return b.groupBy(KEY).agg(F.count(F.lit(1)).alias("bureau_count"),
+                              *P.category_count_exprs(b, BUREAU_CAT, "_bureau", taken={KEY, "bureau_count"}))
 
 
 def client_category_counts(spark, d):
@@ -98,10 +88,17 @@ def gap_frame(spark, d):
 
 
 def client_credit_gap(spark, d):
-    """O-E1..E5, O-D16: mean/sd of days between consecutive credits."""
+    """O-E5, O-D16: mean/sd of days between consecutive credits."""
     return finalize(gap_frame(spark, d))
 
 
+def credit_gap_rows(spark, d):
+    """O-E1, O-E2, O-E3 in row form: every credit with its last-row flag, the next
+    credit's day, the gap, and the client's mean and sd of gaps."""
+    b = R.bureau(spark, d).select(KEY, "credit_id", "days_credit")
+    return finalize(W.gap_rows(b, KEY, "days_credit", ["credit_id"]))
+
+
 def filtered_frame(spark, d):
     b = R.bureau(spark, d)
     dc = F.col("days_credit")
@@ -118,7 +115,7 @@ def client_filtered_counts(spark, d):
 
 
 def two_level_frame(spark, d):
-    return A.two_level_stats(installments_coded(spark, d), KEY, "loan_id", INST_COLS, "_installments")
+    return SE.two_level(SE.month_rows(spark, d, "installments"), "installments")
 
 
 def loan_client_two_level(spark, d):
@@ -127,8 +124,9 @@ def loan_client_two_level(spark, d):
 
 
 def two_level_ratio_frame(spark, d):
-    tl = A.two_level_stats(installments_coded(spark, d), KEY, "loan_id", INST_COLS,
-                           "_installments", stats=["sum"], stats2=["mean"])
+    names = SE.section_names("installments")
+    tl = A.two_level_stats(SE.month_rows(spark, d, "installments"), KEY, "loan_id", list(names), names,
+                           stats=["sum"], stats2=["mean"])
     cols = [c for c in tl.columns if "_sum_mean" in c]
     return tl.select(KEY, *X.all_pair_ratios(cols))
 
@@ -161,6 +159,7 @@ def ever_late_count(spark, d):
 # ---- application row-wise features ----------------------------------------
 
 from featspark.operators import columns as C  # noqa: E402
+from featspark.operators import comoments as CM  # noqa: E402
 from featspark.operators import encode as E  # noqa: E402
 from featspark.operators import impute as I  # noqa: E402
 from featspark.operators import profile as PR  # noqa: E402
@@ -292,6 +291,12 @@ def corr_matrix(spark, d):
                                        "EXT_SOURCE_2", "DAYS_BIRTH"]))
 
 
+def corr_all(spark, d):
+    """O-D23 for a wide table: all pairs of the 156 ratio columns."""
+    r = pair_ratio_frame(spark, d).drop(KEY)
+    return finalize(CM.corr_all(r, r.columns))
+
+
 def histogram(spark, d):
     """O-D24: 20 equal-width bins of order value."""
     return finalize(PR.histogram(R.bureau(spark, d), "o_totalprice", 20))
@@ -315,6 +320,7 @@ from featspark.operators import metrics as M  # noqa: E402
 from featspark.operators import model as ML  # noqa: E402
 from featspark.operators import split as S  # noqa: E402
 from featspark.operators import weights as WT  # noqa: E402
+from featspark.session import materialize, shared_dir  # noqa: E402
 from featspark.sources import io as IO  # noqa: E402
 
 
@@ -400,7 +406,6 @@ def submission_merge(spark, d):
 def csv_round_trip(spark, d):
     """O-A1..A5: write CSV (no index) to the shared checkpoint folder, read it
     back with an explicit schema and the NA rule."""
-    from featspark.session import shared_dir
     app = R.application(spark, d).select(KEY, "c_nationkey", "c_mktsegment", "c_acctbal",
                                          "score_1", "is_test")
     path = shared_dir(spark, "csv")
@@ -410,8 +415,30 @@ def csv_round_trip(spark, d):
     return finalize(IO.read_csv(spark, path, schema, na_token="NA"))
 
 
+def metric_log(spark, d):
+    """O-A7: fold metrics of two runs appended to a log, the first run twice."""
+    path = shared_dir(spark, "metric_log")
+    table = M.fold_auc_table(_scored_train(spark, d), "label", "score", "weight")
+    for run in ("first", "second", "first"):
+        M.log_metrics(table, path, run)
+    return finalize(M.read_metrics(spark, path).select("run", "Fold_Name", "Validation_AUC", "Train_AUC"))
+
+
+def csv_inferred(spark, d):
+    """O-A1, O-A2: CSV with blanks, NA, a flag column and a row index, read back with
+    inferred types and without the index."""
+    app, k = R.application(spark, d), F.col(KEY)
+    app = app.select(
+        KEY, "c_nationkey", F.when(k % 9 == 0, "").when(k % 11 != 0, F.col("c_mktsegment")).alias("segment"),
+        F.when(k % 4 != 0, F.col("c_acctbal")).alias("balance"),
+        F.when(k % 6 != 0, F.col("c_nationkey") % 2 == 0).alias("even"), (k % 5).alias("step"))
+    path = shared_dir(spark, "csv")
+    IO.write_csv(IO.with_row_index(app, KEY), path, na_token="NA")
+    return finalize(IO.read_csv_inferred(spark, path))
+
+
 def holdout_split(spark, d):
-    """O-I2: 33 % hash hold-out of train clients."""
+    """O-I2: exactly 33 % of the train clients held out by least hash."""
     tr = _train(spark, d).select(KEY)
     fit, hold = S.holdout_split(tr, KEY, 0.33, 42)
     return finalize(fit.withColumn("holdout", F.lit(0)).unionByName(
@@ -419,7 +446,7 @@ def holdout_split(spark, d):
 
 
 def bootstrap_samples(spark, d):
-    """O-I3: 15 subsamples of 30 % of all clients, one pass."""
+    """O-I3: 15 subsamples of exactly 30 % of all clients, one pass."""
     app = R.application(spark, d).select(KEY)
     return finalize(S.repeated_subsamples(app, KEY, 0.3, 15, 7))
 
@@ -460,9 +487,33 @@ def gbt_cv_scores(spark, d):
     return finalize(table)
 
 
+def gbt_watch_list(spark, d):
+    """O-I7: loss and AUC of every fold, set and round, with the round of least
+    validation loss."""
+    mf = _model_frame(spark, d)
+    tr = S.stratified_folds(mf.filter(~F.col("is_test")), KEY, "label", 5, 1234)
+    tr = materialize(tr.select(KEY, "label", "weight", "fold", *FEATS))
+    models, preps = ML.fit_folds(tr, FEATS, "label", "weight", "fold", 5, {"maxIter": 10, "maxDepth": 3})
+    watched = materialize(ML.watch_list(tr, models, preps))
+    return finalize(watched.join(ML.stopping_rounds(watched), "fold"))
+
+
+def model_reload(spark, d):
+    """O-A6, O-I9: a saved model gives the same scores after reload, all within 0..1."""
+    mf = _model_frame(spark, d)
+    tr, te = mf.filter(~F.col("is_test")), mf.filter(F.col("is_test"))
+    prep = ML.fit_features(tr, FEATS)
+    m = ML.fit_gbt(prep.transform(tr).select("label", "weight", "features"), "label", "weight",
+                   {"maxIter": 3, "maxDepth": 3})
+    path = shared_dir(spark, "model")
+    ML.save_model(m, path)
+    d = ML.predict_many([m, ML.load_model(path)], prep.beside(te, "features"))
+    return finalize(d.select(KEY, (F.col("ps")[0] == F.col("ps")[1]).cast("int").alias("same"),
+                             F.col("ps")[1].between(0, 1).cast("int").alias("in_range")))
+
+
 def gbt_submission(spark, d):
     """O-I6, O-I9, O-A6, O-I15: final fit on all train rows, save/load, score test."""
-    from featspark.session import shared_dir
     mf = _model_frame(spark, d)
     tr, te = mf.filter(~F.col("is_test")), mf.filter(F.col("is_test"))
     prep = ML.fit_features(tr, FEATS)
