@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from featspark.plans import chain as CH
 from featspark.plans import features as FT
 from featspark.plans import oracle as O
 from featspark.plans import queries as Q
@@ -29,5 +30,7 @@ ORACLE = {n: getattr(O, n) for n in _NAMES if hasattr(O, n)}
 _SECTIONS = ["pos_features", "card_features", "previous_application_features"]
 QUERIES.update({n: getattr(SE, n) for n in _SECTIONS})
 QUERIES["train_test_assembly"] = FT.train_test_assembly
+QUERIES["model_chain"] = CH.model_chain
+ORACLE["model_chain"] = SQ.model_chain
 ORACLE.update({n: getattr(SQ, n) for n in [*_SECTIONS, "client_feature_table", "train_test_assembly"]})
 FLAGSHIP = "client_feature_table"

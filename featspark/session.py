@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,21 +60,40 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
+class NoSharedFolder(RuntimeError):
+    pass
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Checkpoint folder for local sessions: the configured one, else a scratch
-    folder (tests and local runs only; see ``local_session``)."""
+    """Checkpoint folder: the configured one, else, in local mode only, a scratch
+    folder; on a cluster a machine-local folder would be wrong, so it must be set."""
     d = checkpoint_dir(spark)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise NoSharedFolder("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="featspark-ckpt-"))
         d = spark.sparkContext.getCheckpointDir()
     return d
 
 
+def drop_at_end(spark: SparkSession, path: str) -> None:
+    """Have ``path`` (an existing folder) deleted when the driver ends: results that
+    read it are lazy, so it cannot go earlier."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def shared_dir(spark: SparkSession, what: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for ``what``."""
-    import uuid
-    d = ensure_checkpoint_dir(spark)
-    return f"{d.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    """A fresh sub-folder of the shared checkpoint folder for ``what``; gone when the driver ends."""
+    path = _fresh(spark, what)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+    drop_at_end(spark, path)
+    return path
+
+
+def _fresh(spark: SparkSession, what: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -89,7 +109,10 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def written(df: DataFrame, what: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back: like
-    ``materialize``, for frames of which later steps read a few columns."""
-    path = shared_dir(df.sparkSession, what)
+    ``materialize``, for frames of which later steps read a few columns.
+    The table is deleted when the driver ends."""
+    spark = df.sparkSession
+    path = _fresh(spark, what)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    drop_at_end(spark, path)
+    return spark.read.parquet(path)
