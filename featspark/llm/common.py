@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import gc
 import re
-import tempfile
 import uuid
 import zlib
 from collections import Counter
@@ -19,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featspark.session import drop_at_end, ensure_checkpoint_dir
+
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -60,21 +61,21 @@ def held_out(doc_id: str = "doc_id") -> Column:
 class Scratch:
     """Written tables of one operator call, in the session's shared folder.
 
-    The folder is ``spark.checkpoint.dir`` (a temporary one only where none is
-    set, as in tests).  A written table cuts the lineage and survives lost
-    executors.  ``drop`` removes a table that no later step reads.
+    The folder is ``spark.checkpoint.dir`` (a temporary one only in local mode where
+    none is set, as in tests; on a cluster it must be set).  A written table cuts the lineage and
+    survives lost executors.  ``drop`` removes a table that no later step reads; the rest goes
+    when the driver ends, as results that read it are lazy.
     """
 
     def __init__(self, spark: SparkSession, what: str):
-        sc = spark.sparkContext
-        base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-        if not base:
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="corpus-"))
-            base = sc.getCheckpointDir()
-        self.spark, self.root = spark, f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+        self.spark, self.root = spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+        self.kept = False
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         df.write.parquet(f"{self.root}/{name}")
+        if not self.kept:
+            drop_at_end(self.spark, self.root)
+            self.kept = True
         return self.read(name, df)
 
     def read(self, name: str, like: DataFrame) -> DataFrame:
