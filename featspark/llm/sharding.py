@@ -1,15 +1,16 @@
 """Sharding by sampled splitters (operator 5).
 
-Records are ordered by (hash of the text, hash of the doc_id, doc_id): equal
-texts stand together, and a text with very many copies can still be divided.
+Records are ordered by (hash of the text, hash of the doc_id, a record's own
+number): equal texts stand together, and a text with very many copies, or one record repeated
+very often, can still be divided.
 
 1. A size-weighted sample of keys is drawn (a record of z bytes with
    probability min(1, z * wanted / total), decided by a hash, so reruns agree).
-2. Its quantiles become splitters; records are range-partitioned by them and
-   every range is measured.
+2. Its quantiles become splitters, ``RANGES_PER_SHARD`` a shard or more: one for every
+   ``ROWS_PER_RANGE`` rows; records are range-partitioned by them and every range is measured.
 3. Ranges with more than twice the mean bytes or rows are subdivided by
-   splitters sampled inside them, until none is overfull or its records share
-   one key.
+   splitters sampled inside them (by their greatest key where the sample holds none),
+   until none is overfull or its records share one key.
 4. Range totals are added up in order, which gives every record its position in
    bytes and rows; shard = the sixteenth of all bytes in which it begins.
 
@@ -17,7 +18,7 @@ Shards therefore hold equal bytes up to one record.  No task sees more than one
 range, and only the splitters (a few per range) pass through the driver.
 
 Defined cases: a null text has no bytes (size 1) and the key of an empty text;
-a null doc_id is ordered first; repeated rows are separate records; an empty
+a null doc_id has the key of an empty one; repeated rows are separate records; an empty
 table gives an empty result.
 """
 
@@ -29,57 +30,71 @@ from pyspark.sql import functions as F
 from featspark.llm.common import Scratch, hash63, text_of
 
 RANGES_PER_SHARD = 8
+ROWS_PER_RANGE = 500_000
 SAMPLES_PER_RANGE = 12
-ROUNDS = 6
+#: Splitters that one expression searches; of more, it finds the block of this many.
+BLOCK = 512
+KEY = ["k1", "k2", "k3"]
 
+Splitter = tuple[int, int, int]
 
-def _range_of(splitters: list[tuple[int, int]]) -> Column:
-    """Number of splitters <= (k1, k2), by binary search in an array literal."""
+
+def _search(array: str, n: int) -> Column:
+    """How many of the first n entries of the sorted array (SQL) are <= the record's key."""
+    steps = ",".join(str(1 << i) for i in range(n.bit_length() - 1, -1, -1))
+    key = "named_struct('a', k1, 'b', k2, 'c', k3)"
+    return F.expr(f"aggregate(array({steps}), 0, (at, step) -> if(at + step <= size({array}) "
+                  f"AND get({array}, at + step - 1) <= {key}, at + step, at))")
+
+
+def with_range(d: DataFrame, splitters: list[Splitter]) -> DataFrame:
+    """``d`` with range: the number of splitters <= its key, by binary search."""
     if not splitters:
-        return F.lit(0)
-    rows = ",".join(f"named_struct('a',{a}L,'b',{b}L)" for a, b in splitters)
-    steps = [1 << i for i in range(len(splitters).bit_length() - 1, -1, -1)]
-    n = len(splitters)
-    return F.expr(
-        f"aggregate(array({','.join(map(str, steps))}), 0, (at, step) -> "
-        f"if(at + step <= {n} and element_at(array({rows}), least(at + step, {n})) "
-        f"<= named_struct('a', k1, 'b', k2), at + step, at))")
+        return d.withColumn("range", F.lit(0))
+    firsts = splitters[::BLOCK]
+    rows = ",".join(f"named_struct('a',{a}L,'b',{b}L,'c',{c}L)" for a, b, c in firsts)
+    d = d.withColumn("_block", _search(f"array({rows})", len(firsts)))
+    table = [(i + 1, splitters[i * BLOCK:(i + 1) * BLOCK]) for i in range(len(firsts))]
+    table = d.sparkSession.createDataFrame(table, "_block int, _s array<struct<a:bigint,b:bigint,c:bigint>>")
+    d = d.join(F.broadcast(table), "_block", "left")  # a record before all splitters has block 0
+    at = (F.col("_block") - 1) * BLOCK + _search("_s", min(BLOCK, len(splitters)))
+    return d.withColumn("range", F.when(F.col("_block") == 0, 0).otherwise(at).cast("int")).drop("_block", "_s")
 
 
-def _sample(d: DataFrame, wanted: int, total: int, turn: int) -> DataFrame:
-    u = hash63(F.lit(turn), F.col("k1"), F.col("k2")) / F.lit(2.0**60)
-    return d.filter(u < F.col("size") * F.lit(wanted / total)).select("k1", "k2")
+def _chance(turn: int) -> Column:
+    return hash63(F.lit(turn), *map(F.col, KEY)) / F.lit(2.0**60)
 
 
-def sampled_splitters(d: DataFrame, ranges: int) -> list[tuple[int, int]]:
-    """Splitters (k1, k2) such that no range is overfull (or is a single key)."""
+def sampled_splitters(d: DataFrame, ranges: int) -> list[Splitter]:
+    """Splitters such that no range is overfull (or is a single key)."""
     size, rows = d.agg(F.sum("size"), F.count(F.lit(1))).first()
     if not rows:
         return []
-    order = Window.orderBy("k1", "k2")
-
-    def quantiles(s: DataFrame, step: int) -> set[tuple[int, int]]:
-        s = s.withColumn("n", F.row_number().over(order))  # a bounded sample
-        return {(r[0], r[1]) for r in s.filter(F.col("n") % step == 0).select("k1", "k2").collect()}
-
-    found = quantiles(_sample(d, ranges * SAMPLES_PER_RANGE, size, 0), SAMPLES_PER_RANGE)
-    for turn in range(1, ROUNDS + 1):
-        splitters = sorted(found)
-        r = d.withColumn("range", _range_of(splitters))
-        full = r.groupBy("range").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
+    ranges = max(ranges, -(-rows // ROWS_PER_RANGE))
+    order = Window.orderBy(*KEY)
+
+    def quantiles(s: DataFrame, step: int) -> set[Splitter]:
+        s = s.select(*KEY).withColumn("n", F.row_number().over(order))  # a bounded sample
+        return {tuple(r) for r in s.filter(F.col("n") % step == 0).select(*KEY).collect()}
+
+    wanted = ranges * SAMPLES_PER_RANGE
+    found = quantiles(d.filter(_chance(0) < F.col("size") * F.lit(wanted / size)), SAMPLES_PER_RANGE)
+    turn = 0
+    while True:
+        turn += 1
+        r = with_range(d, sorted(found))
+        key = F.struct(*KEY)
+        full = r.groupBy("range").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"),
+                                      F.min(key).alias("low"), F.max(key).alias("high"))
         over = full.filter((F.col("bytes") > 2 * size / ranges) | (F.col("n") > 2 * rows / ranges))
-        over = [x[0] for x in over.collect()]
+        over = over.filter("low < high").select("range", "high").collect()
         if not over:
-            break
-        inside = r.filter(F.col("range").isin(over))
+            return sorted(found)
+        inside = r.filter(F.col("range").isin([x[0] for x in over]))
         # by rows here: what is overfull in rows holds small records
-        u = hash63(F.lit(turn), F.col("k1"), F.col("k2")) / F.lit(2.0**60)
         p = F.greatest(F.col("size") / F.lit(size), F.lit(1.0 / rows)) * F.lit(4.0 * ranges)
-        more = quantiles(inside.filter(u < p).select("k1", "k2"), 2) - found
-        if not more:
-            break
-        found |= more
-    return sorted(found)
+        more = quantiles(inside.filter(_chance(turn) < p), 2) - found
+        found |= more or {tuple(x[1]) for x in over}
 
 
 def shard_by_splitters(docs: DataFrame, shards: int = 16, id_col: str = "doc_id",
@@ -90,21 +105,23 @@ def shard_by_splitters(docs: DataFrame, shards: int = 16, id_col: str = "doc_id"
     d = docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + 1).cast("bigint").alias("size"),
                     F.crc32(text).alias("text_crc32"),
                     F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint").alias("k1"))
-    d = scratch.write("keys", d.withColumn("k2", hash63(F.col("doc_id"))))
-    ranged = scratch.write("ranged", d.withColumn(
-        "range", _range_of(sampled_splitters(d, shards * RANGES_PER_SHARD))))
+    d = d.withColumns({"k2": hash63(F.col("doc_id")), "k3": F.monotonically_increasing_id()})
+    d = scratch.write("keys", d)
+    ranged = scratch.write("ranged", with_range(d, sampled_splitters(d, shards * RANGES_PER_SHARD)))
+    scratch.drop("keys")
 
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
     totals = ranged.groupBy("range").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n"))
     totals = totals.select("range", F.coalesce(F.sum("b").over(before), F.lit(0)).alias("byte0"),
                            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("row0"),
                            F.sum("b").over(Window.partitionBy()).alias("total"))
-    inside = Window.partitionBy("range").orderBy("k1", "k2", F.col("doc_id").asc_nulls_first(), "size")
+    inside = Window.partitionBy("range").orderBy(*KEY)
     r = ranged.withColumn("byte", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     r = r.withColumn("place", F.row_number().over(inside) - 1).join(totals, "range")
     shard = F.floor((F.col("byte0") + F.col("byte")) * F.lit(shards).cast("decimal(20,0)") / F.col("total"))
     r = scratch.write("placed", r.select("doc_id", "size", "text_crc32", "range", shard.cast("int").alias("shard"),
                                          (F.col("row0") + F.col("place")).alias("at")))
+    scratch.drop("ranged")
     first = F.broadcast(r.groupBy("shard").agg(F.min("at").alias("first")))  # one row a shard
     return r.join(first, "shard").select("doc_id", "size", "text_crc32", "shard",
                                          (F.col("at") - F.col("first")).cast("bigint").alias("slot"), "range")

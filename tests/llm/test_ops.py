@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import zlib
 
 import duckdb
 import numpy as np
@@ -210,6 +211,21 @@ def test_shards_are_level_and_gapless(spark):
     assert got.groupby("range").size().max() <= 3000 / 16  # the hot text's range was divided
 
 
+def test_shards_with_many_splitters_and_one_repeated_record(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BLOCK", 4)
+    monkeypatch.setattr(sharding, "ROWS_PER_RANGE", 20)
+    rows = [(i, f"text {i} " * (i % 40)) for i in range(2000)] + [(None, "one record")] * 1000 + [(7, None)] * 9
+    got = sharding.shard_by_splitters(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
+    assert got.range.nunique() > 100 and got.groupby("range").size().max() <= 2 * 3009 / 128 + 60
+    per = got.groupby("shard")["size"].sum()
+    assert len(per) == 16 and per.max() - per.min() <= 2 * got["size"].max()
+    # shards are runs of ranges, and ranges runs of keys: positions are gapless throughout
+    got = got.sort_values(["shard", "slot"])
+    assert got.range.is_monotonic_increasing and (got.groupby("shard").slot.max() + 1 == got.groupby("shard").size()).all()
+    crc = {zlib.crc32((t or "").encode()) for _, t in rows}
+    assert set(got.text_crc32) == crc and len(got) == len(rows)
+
+
 # --- 7
 
 def test_cut_points_follow_content():
