@@ -163,8 +163,8 @@ def watch_list(df: DataFrame, models: dict[int, GBTClassificationModel], preps:
     """
     d = df
     for f, m in models.items():
-        d = round_margins(m, preps[f].beside(d, f"x{f}"), f"x{f}", f"m{f}").drop(f"x{f}")
-    per = F.array(*[F.struct(F.lit(f).alias("mf"), F.col(f"m{f}").alias("ms")) for f in models])
+        d = round_margins(m, preps[f].beside(d, f"_x{f}"), f"_x{f}", f"_m{f}").drop(f"_x{f}")
+    per = F.array(*[F.struct(F.lit(f).alias("mf"), F.col(f"_m{f}").alias("ms")) for f in models])
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     d = d.select(F.col(label).cast("double").alias("y"), w.alias("w"), F.col(fold_col).alias("f"), F.explode(per).alias("e"))
     d = d.select("y", "w", F.col("e.mf").alias("fold"), F.when(F.col("f") == F.col("e.mf"), "valid").otherwise("train").alias("set"),
@@ -218,9 +218,9 @@ def cross_validate(df: DataFrame, key: str, features: Sequence[str], label: str
     models, preps = fit_folds(df, features, label, weight, fold_col, k, params)
     d = df
     for f, prep in preps.items():
-        d = prep.beside(d, f"x{f}")
-    d = predict_many(list(models.values()), d, "ps", [f"x{f}" for f in models])
-    scored = d.select(*keep, F.posexplode("ps").alias("_i", "p")).withColumn(
+        d = prep.beside(d, f"_x{f}")
+    d = predict_many(list(models.values()), d, "_ps", [f"_x{f}" for f in models])
+    scored = d.select(*keep, F.posexplode("_ps").alias("_i", "p")).withColumn(
         "model_fold", F.element_at(F.array(*[F.lit(f) for f in models]), F.col("_i") + 1))
     return fold_auc_table(scored, label, "p", weight, fold_col, k, model_col="model_fold"), list(models.values())
 

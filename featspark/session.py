@@ -83,17 +83,19 @@ def drop_at_end(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
 
 
-def shared_dir(spark: SparkSession, what: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for ``what``; gone when the driver ends."""
-    path = _fresh(spark, what)
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
-    drop_at_end(spark, path)
-    return path
+_ROOTS: set[str] = set()
 
 
-def _fresh(spark: SparkSession, what: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+def shared_dir(spark: SparkSession, what: str) -> str:
+    """A fresh path for ``what`` in this application's folder below the shared
+    checkpoint folder; the application's folder goes when the driver ends."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/featspark-{spark.sparkContext.applicationId}"
+    if root not in _ROOTS:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+        drop_at_end(spark, root)
+        _ROOTS.add(root)
+    return f"{root}/{what}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -111,8 +113,6 @@ def written(df: DataFrame, what: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back: like
     ``materialize``, for frames of which later steps read a few columns.
     The table is deleted when the driver ends."""
-    spark = df.sparkSession
-    path = _fresh(spark, what)
+    path = shared_dir(df.sparkSession, what)
     df.write.parquet(path)
-    drop_at_end(spark, path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)
