@@ -16,7 +16,8 @@ TABLES = ["customer", "orders", "lineitem", "nation", "events"]
 SUBSET = ["client_basic_stats", "client_category_counts", "client_status_counts_proportions",
           "client_credit_gap", "loan_mode_stats", "affordability_block", "row_score_stats",
           "impute_mean_median_mode", "describe_compare", "histogram", "fold_assign",
-          "weighted_auc", "pd_grid", "bootstrap_samples"]
+          "weighted_auc", "pd_grid", "bootstrap_samples", "holdout_split", "credit_gap_rows",
+          "csv_inferred", "metric_log", "label_encode_query", "loan_client_two_level", "corr_all"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 
