@@ -254,3 +254,63 @@ def test_csv_with_index_comes_back(spark):
     IO.write_csv(IO.with_row_index(df, "k"), path, na_token="NA")
     back = IO.read_csv_inferred(spark, path)
     assert back.columns == ["k", "s", "v"] and rows_of(back) == rows_of(df)
+
+
+# --- memory of one task: partitions by row count
+
+def test_two_level_partitions_follow_the_rows(spark, monkeypatch):
+    from featspark import session
+    monkeypatch.setattr(session.tasks_for, "__defaults__", (100,))
+    df = spark.range(2000).selectExpr("id % 97 AS c", "id % 400 AS l", "cast(id % 5 AS double) AS x")
+    t = A.two_level_stats(df, "c", "l", ["x"], "_s")
+    assert "hashpartitioning(c" in plan_of(t) and ", 20)" in plan_of(t) and "Window" not in plan_of(t)
+    m = A.mode_then_stats(df, "c", "l", "x", "M", "_s")
+    assert ", 20)" in plan_of(m) and m.count() == 97
+
+
+def test_two_level_chunks_keep_keys_whole(spark, monkeypatch):
+    import pyarrow as pa
+
+    from featspark.operators import twolevel as TL
+    rng = np.random.default_rng(2)
+    keys = np.sort(rng.integers(0, 12, 400)).tolist()
+    keys = [None] * 90 + keys + [12] * 200  # a key that fills many batches, and no key at all
+    t = pa.table({"k": pa.array(keys, pa.int64()), "v": range(len(keys))})
+    monkeypatch.setattr(TL, "CHUNK", 50)
+    for size in (1, 7, 64, 1000):
+        chunks = list(TL.whole_keys(iter(t.to_batches(max_chunksize=size)), "k"))
+        assert [v for c in chunks for v in c["v"].to_pylist()] == list(range(len(keys)))
+        seen = [k for c in chunks for k in set(c["k"].to_pylist())]
+        assert len(seen) == len(set(seen)) == 14 and len(chunks) > 1 or size == 1000
+
+
+def test_grouped_stats_count_nan_as_the_largest_value():
+    from featspark.operators.twolevel import grouped_stats
+    x = np.array([np.nan, 1.0, np.nan, 0.0, 5.0])
+    got = grouped_stats(x, np.array([True, True, True, False, True]), np.array([0, 0, 0, 1, 2]), 3,
+                        ["Mode", "min", "max", "n_distinct", "sum", "sd", "n_null"])
+    mode, least, most, distinct, total, sd, nulls = got
+    assert np.isnan(mode[0][0]) and least[0][0] == 1.0 and np.isnan(most[0][0]) and distinct[0].tolist() == [2, 0, 1]
+    assert mode[1].tolist() == [True, False, True] and sd[1].tolist() == [True, False, False]
+    assert total[0][1] == 0 and total[1].all() and nulls[0].tolist() == [0, 1, 0]
+
+
+def test_wide_frames_are_rounded_like_narrow_ones(spark, monkeypatch):
+    from featspark.plans import common
+    values = [None, 0.0, -0.00005, 0.00005, 2.00005, -3.14159265, 1e8 + 0.005, 123456789.126, 4e10 + 0.5, -7.5e15, 1e300,
+              float("inf"), float("nan")]
+    df = spark.createDataFrame([(i, f"t{i}", v, None if v is None else -v) for i, v in enumerate(values)],
+                               "id int, t string, `a.b` double, c double")
+    want = common.finalize(df)
+    monkeypatch.setattr(common, "WIDE", 1)
+    got = common.finalize(df)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert [str(r) for r in got.orderBy("id").collect()] == [str(r) for r in want.orderBy("id").collect()]
+    assert got.filter("`a.b` = 2.0001").count() == 1
+
+
+def test_attach_partitions_by_the_given_number(spark):
+    from featspark.operators import joins as J
+    spine = spark.range(50).withColumnRenamed("id", "k")
+    out = J.attach(spine, [spine.selectExpr("k", "k * 2 AS x")], "k", verify="run", tasks=9)
+    assert "hashpartitioning(k" in plan_of(out) and ", 9)" in plan_of(out) and out.filter("x = 2 * k").count() == 50
