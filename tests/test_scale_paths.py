@@ -314,3 +314,14 @@ def test_attach_partitions_by_the_given_number(spark):
     spine = spark.range(50).withColumnRenamed("id", "k")
     out = J.attach(spine, [spine.selectExpr("k", "k * 2 AS x")], "k", verify="run", tasks=9)
     assert "hashpartitioning(k" in plan_of(out) and ", 9)" in plan_of(out) and out.filter("x = 2 * k").count() == 50
+
+
+def test_model_frame_is_computed_once(spark, tmp_path):
+    from featspark.plans import queries as Q
+    spark.range(20).selectExpr("id AS c_custkey", "cast(id % 3 AS int) AS c_nationkey", "'A' AS c_mktsegment",
+                               "cast(id - 5 AS double) AS c_acctbal").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(60).selectExpr("id AS o_orderkey", "id % 18 AS o_custkey", "'F' AS o_orderstatus", "'5-LOW' AS o_orderpriority",
+                               "cast(id AS double) AS o_totalprice", "timestamp '2000-01-01' AS o_orderdate"
+                               ).write.parquet(f"{tmp_path}/orders.parquet")
+    mf = Q._model_frame(spark, str(tmp_path))
+    assert mf.count() == 20 and "Join" not in plan_of(mf) and "FileScan" not in plan_of(mf)
