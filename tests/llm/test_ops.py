@@ -516,6 +516,21 @@ def test_repeated_bytes(spark, limit):
     assert {r.doc_id: tuple(r[1:5]) for r in got} == brute_repeats(docs, 400)
 
 
+def test_word_passages_go_by_bytes(spark):
+    """Passages of over 50 words in several documents: 399 bytes stay, 400 go."""
+    rnd = random.Random(8)
+
+    def words(n, size):
+        t = " ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+        return t + "z" * (size - len(t))
+
+    short, full = words(55, 399), words(55, 400)
+    docs = [(i, words(30, 0) + f" {i}{p}{i} " + words(30, 0)) for i, p in enumerate([short] * 3 + [full] * 3)]
+    got = {r.doc_id: r for r in suffix.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert [(got[i].n_removed, got[i].n_spans) for i in range(6)] == [(0, 0)] * 3 + [(400, 1)] * 3
+    assert {i: tuple(r[1:5]) for i, r in got.items()} == brute_repeats(docs, 400)
+
+
 def test_deep_shallow_order_sorts():
     rnd = random.Random(2)
     for _ in range(50):
