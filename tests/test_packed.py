@@ -96,3 +96,51 @@ def test_assembly_without_test_clients(spark, tmp_path):
     (tmp_path / "few.parquet").rename(tmp_path / "customer.parquet")
     df = FT.train_test_assembly(spark, d)
     assert df.filter("is_test = 0").count() == df.count() == 32
+
+
+@pytest.fixture()
+def wide(spark):
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([(1, 0.5, 1.0, None, 4, None), (2, None, inf, None, None, 2), (3, 1.5, nan, None, 6, 7),
+                                (4, 2.5, -inf, None, 2**40, None)], "k long, own double, a double, `b.c` double, n long, m int")
+    p = PK.pack(df, ["k", "own"])
+    clean = df.withColumn("a", F.lit(None).cast("double")).withColumn("a", F.when(F.col("k") == 1, 1.0))
+    return PK.Packed(p.df, p.at, df.columns, finite=True), clean
+
+
+def test_packed_columns_come_back(wide):
+    p, clean = wide
+    assert p.schema.simpleString() == p.unpack().schema.simpleString() == clean.schema.simpleString()
+    assert rows(p.unpack(), ["k"]) == rows(clean, ["k"])
+    assert p.select("m", "k").unpack().columns == ["m", "k"] and p.drop("m", "n").columns == ["k", "own", "a", "b.c"]
+
+
+def test_preparation_of_arrays_equals_that_of_columns(wide):
+    from featspark.operators import model as ML
+    p, clean = wide
+    names = ["m", "own", "a", "n"]
+    one, two = ML.fit_features(p, names, "mean"), ML.fit_features(clean, names, "mean")
+    assert one.vector_cols == two.vector_cols and one.fill == pytest.approx(two.fill)
+    for a, b in zip(rows(one.transform(p), ["k"]), rows(two.transform(clean), ["k"])):
+        assert a["features"].toArray().tolist() == pytest.approx(b["features"].toArray().tolist())
+    assert PK.means_and_nulls(p, ["b.c", "a"]) == {"b.c": (None, 4), "a": (1.0, 3)}
+    assert PK.means_and_nulls(p.filter("k > 9"), ["a"]) == {"a": (None, 0)}
+
+
+def test_median_preparation_of_arrays(wide):
+    from featspark.operators import model as ML
+    p, clean = wide
+    names = ["own", "a", "n"]
+    assert ML.fit_features(p, names).fill == ML.fit_features(clean, names).fill
+
+
+def test_chain_keeps_its_wide_table_in_arrays(spark, tmp_path, monkeypatch):
+    from featspark.plans import chain as CH
+    written = []
+    monkeypatch.setattr(CH, "written", lambda df, what: written.append(what))
+    t = CH.engineered(spark, _tables(spark, tmp_path))
+    assert len(t.columns) > 1000 and len(t.df.columns) < 20 and not written
+    plan = plan_of(t.df)
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and t.df.count() == 40
+    few = t.select("score_1_trmedian", "na", "cnt_units_Mode_max_installments").unpack()
+    assert few.filter("score_1_trmedian IS NULL").count() == 0 and few.count() == 40
