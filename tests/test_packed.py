@@ -144,3 +144,18 @@ def test_chain_keeps_its_wide_table_in_arrays(spark, tmp_path, monkeypatch):
     assert plan.count("FileScan") == 1 and "Exchange" not in plan and t.df.count() == 40
     few = t.select("score_1_trmedian", "na", "cnt_units_Mode_max_installments").unpack()
     assert few.filter("score_1_trmedian IS NULL").count() == 0 and few.count() == 40
+
+
+def test_settings_come_back_and_tasks_follow_rows(spark):
+    from featspark import session as S
+    spark.conf.set(S.ARROW, "300")
+    try:
+        assert S.batches(spark) == {S.ARROW: "300"}
+        with S.settings(spark, {S.ARROW: "7", "spark.sql.some.thing": "x"}):
+            assert spark.conf.get(S.ARROW) == "7" and spark.conf.get("spark.sql.some.thing") == "x"
+        assert spark.conf.get(S.ARROW) == "300" and spark.conf.get("spark.sql.some.thing", None) is None
+    finally:
+        spark.conf.unset(S.ARROW)
+    assert S.batches(spark) == {S.ARROW: str(S.BATCH)}
+    assert S.in_tasks(spark.range(0, 1000, 1, 50), 100).rdd.getNumPartitions() == 10
+    assert S.in_tasks(spark.range(0, 10, 1, 50), 100).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
